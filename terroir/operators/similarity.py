@@ -290,3 +290,14 @@ def similar_with_fallback(
     computed = topk_similar(listings, k, max_score, bases=missing)
     known = known.join(listings.select(F.col("id").alias("base_id")), "base_id", "left_semi")
     return known.unionByName(computed.select("base_id", "rank", "similar_id"))
+
+
+def candidate_counts(listings: DataFrame) -> DataFrame:
+    """(id, city, candidates): how many other listings of its city a base is compared with.
+
+    The pairs themselves are never formed: a city's count does it.
+    """
+    city = F.col("city") if "city" in listings.columns else city_from_address(F.col("address"))
+    located = listings.select("id", city.alias("city")).where(F.col("city").isNotNull())
+    sizes = located.groupBy("city").agg(F.count(F.lit(1)).alias("n"))
+    return located.join(sizes, "city").select("id", "city", (F.col("n") - 1).alias("candidates"))

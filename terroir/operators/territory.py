@@ -101,10 +101,9 @@ def unpivot_years(
         )
         for y, p in prefixes
     ])
-    code = F.trim("CODGEO")
-    department = C.department_from_commune(code)
+    department = C.department_from_commune(F.col("insee_code"))
     return (
-        wide.select(code.alias("insee_code"), F.inline(rows))
+        wide.select(F.trim("CODGEO").alias("insee_code"), F.inline(rows))
         .where(F.col("insee_code").isNotNull() & F.col("population").isNotNull())
         .select(
             "year", F.lit("city").alias("level"), "insee_code",

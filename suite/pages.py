@@ -1 +1,87 @@
-"""queries."""
+"""Page queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from terroir.operators import pages as P
+
+from .base import case, table
+
+# Host parts and path patterns of the given pages.
+PATTERNS = {"blog": ("^/[a-z]+$",), "example": ("^/[A-Za-z]+$", "%C3")}
+
+# The given pages link with absolute paths of one segment. Path escaping in SQL: every byte that is not printable ASCII.
+_ESCAPED = """list_aggregate(list_transform(string_split(href, ''), lambda c: CASE WHEN regexp_matches(c, '[^!-~]|["<>`{}^]')
+ THEN regexp_replace(hex(encode(c)), '(..)', '%\\1', 'g') ELSE c END), 'string_agg', '')"""
+_BODY = "regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', '', 'g')"
+LINKS = f"""hosts AS (SELECT page_id, url, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS origin,
+   regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, regexp_extract_all({_BODY}, '(?is)<a\\s[^>]*?href="([^"]*)"', 1) AS hrefs FROM pages),
+ each AS (SELECT page_id, url, origin, host, i AS pos, {_ESCAPED} AS path FROM
+   (SELECT *, unnest(hrefs) AS href, unnest(range(1, len(hrefs) + 1)) AS i FROM hosts)),
+ firsts AS (SELECT page_id, url, origin || path AS listing_url, min(pos) AS pos FROM each
+   WHERE regexp_matches(path, CASE WHEN contains(host, 'blog') THEN '(?i)^/[a-z]+$' ELSE '(?i)^/[A-Za-z]+$|%C3' END)
+   GROUP BY page_id, url, origin || path),
+ links AS (SELECT page_id, url, listing_url, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS position FROM firsts)"""
+
+
+@case("discover_links", f"WITH {LINKS} SELECT page_id, url, CAST(position AS INT) AS position, listing_url FROM links WHERE position < 40")
+def _(spark, sf):
+    return P.discover_links(table(spark, sf, "pages"), patterns=PATTERNS)
+
+
+# Every part becomes a page that carries its fields in one of the layers, chosen by its size.
+_JSON_LISTING = """'"title":"', p_name, '","price":', CAST(p_partkey AS STRING), ',"surface":"', CAST(p_size AS STRING), ',5 m²","rooms":', CAST(p_size % 5 AS STRING),
+ ',"city":" Lyon ","elevator":', CASE WHEN p_size % 2 = 0 THEN 'true' ELSE '"yes"' END, ',"dpe":"', substr('abcXdef', CAST(1 + p_partkey % 7 AS INT), 1), '"'"""
+MADE_PAGES = f"""SELECT p_partkey, concat('https://www.', CASE p_size % 5 WHEN 0 THEN 'bienici.com' WHEN 1 THEN 'leboncoin.fr' ELSE 'example.org' END,
+   '/annonce/', CAST(p_partkey AS STRING)) AS url,
+ concat('<html><head><title>', CASE WHEN p_size % 5 = 3 THEN concat('Maison T', CAST(p_size % 9 AS STRING), ' ', CAST(p_size AS STRING), ' m² 1 ',
+   CAST(100 + p_partkey % 900 AS STRING), ' € Lyon (69001)') ELSE '' END, '</title>',
+  CASE p_size % 5
+   WHEN 0 THEN concat('<script id="__NEXT_DATA__" type="application/json">{{"props":{{"pageProps":{{"propertyAd":{{"title":"', p_name,
+     '","monthlyPrice":"', CAST(p_partkey AS STRING), ',50 €","surfaceArea":', CAST(p_size AS STRING), ',"roomsCount":3,"hasElevator":false,"city":"Nantes","photos":[{{"url":"https://i.example/',
+     CAST(p_partkey AS STRING), '"}},"ftp://x"]}}}}}}}}</script>')
+   WHEN 1 THEN concat('<script>window.__INITIAL_STATE__ = {{"props":{{"pageProps":{{"ad":{{"subject":"', p_name, '","price":[', CAST(p_partkey AS STRING),
+     '],"attributes":[{{"key":"square","value":"', CAST(p_size AS STRING), '"}},{{"key":"rooms","values":["4"]}},{{"key":"furnished","value":"1"}}],"location":{{"city":"Lille","zipcode":"59000","lat":50.6}}}}}}}}}};</script>')
+   WHEN 2 THEN concat('<script type="application/ld+json">[{{"@type":"WebSite","name":"no"}},{{"@type":"Apartment","name":"', p_name, '","offers":{{"price":"',
+     CAST(p_partkey AS STRING), ' €"}},"floorSize":{{"value":', CAST(p_size AS STRING), '}},"address":{{"addressLocality":"Lyon","postalCode":"69003"}},"numberOfRooms":2}}]</script>')
+   WHEN 3 THEN '<meta name="description" content="Bel &amp; calme"><meta property="og:image" content="https://i.example/x.jpg">'
+   ELSE concat('<script id="__NEXT_DATA__" type="application/json">{{"props":{{"pageProps":{{"listing":{{', {_JSON_LISTING}, '}}}}}}}}</script>') END,
+  '</head><body></body></html>') AS html FROM part"""
+
+EXTRACTED = """SELECT p_partkey,
+ CASE WHEN p_size % 5 = 3 THEN concat('Maison T', CAST(p_size % 9 AS STRING), ' ', CAST(p_size AS STRING), ' m² 1 ', CAST(100 + p_partkey % 900 AS STRING), ' € Lyon (69001)') ELSE p_name END AS title,
+ CASE p_size % 5 WHEN 0 THEN p_partkey + 0.5e0 WHEN 3 THEN CAST(1000 + 100 + p_partkey % 900 AS DOUBLE) ELSE CAST(p_partkey AS DOUBLE) END AS price,
+ CASE p_size % 5 WHEN 4 THEN p_size + 0.5e0 ELSE CAST(p_size AS DOUBLE) END AS surface,
+ CASE p_size % 5 WHEN 0 THEN 3e0 WHEN 1 THEN 4e0 WHEN 2 THEN 2e0 WHEN 3 THEN CAST(p_size % 9 AS DOUBLE) ELSE CAST(p_size % 5 AS DOUBLE) END AS rooms,
+ CASE p_size % 5 WHEN 0 THEN 'Nantes' WHEN 1 THEN 'Lille' ELSE 'Lyon' END AS city,
+ CASE p_size % 5 WHEN 1 THEN '59000' WHEN 2 THEN '69003' WHEN 3 THEN '69001' END AS postalCode,
+ CASE p_size % 5 WHEN 0 THEN false WHEN 4 THEN CASE WHEN p_size % 2 = 0 THEN true END END AS elevator,
+ CASE p_size % 5 WHEN 1 THEN true END AS furnished,
+ CASE WHEN p_size % 5 = 4 AND p_partkey % 7 <> 3 THEN substr('ABCXDEF', CAST(1 + p_partkey % 7 AS INT), 1) END AS dpe,
+ CASE p_size % 5 WHEN 0 THEN concat('https://i.example/', CAST(p_partkey AS STRING)) WHEN 3 THEN 'https://i.example/x.jpg' ELSE '' END AS photos,
+ CASE p_size % 5 WHEN 3 THEN 'Bel & calme' END AS description FROM part"""
+_COLUMNS = ("p_partkey", "title", "price", "surface", "rooms", "city", "postalCode", "elevator", "furnished", "dpe", "photos", "description")
+
+
+def made_pages(spark, sf):
+    table(spark, sf, "part").createOrReplaceTempView("part")
+    return spark.sql(MADE_PAGES)
+
+
+@case("merge_first_non_null", EXTRACTED)
+def _(spark, sf):
+    df = P.merge_first_non_null(P.extract_layers(made_pages(spark, sf)))
+    return df.withColumn("photos", F.concat_ws(",", "photos")).select(*_COLUMNS)
+
+
+@case("page_extract_layers", r"""SELECT page_id, nullif(trim(replace(replace(replace(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1),
+  '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')), '') AS title, false AS has_state, false AS has_jsonld FROM pages""")
+def _(spark, sf):
+    layers = P.extract_layers(table(spark, sf, "pages"))
+    return layers.select(
+        "page_id", F.col("og.title").alias("title"), F.col("state").isNotNull().alias("has_state"),
+        F.coalesce(F.col("jsonld.title").isNotNull(), F.lit(False)).alias("has_jsonld"),
+    )
+
+

@@ -7,35 +7,35 @@ from pyspark.sql import functions as F
 
 # Named entities.
 ENTITIES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\u00a0", "&euro;": "€",
-    "&sup2;": "²", "&middot;": "·", "&ndash;": "–", "&mdash;": "—", "&hellip;": "…", "&rsquo;": "’", "&laquo;": "«",
-    "&raquo;": "»", "&deg;": "°", "&agrave;": "à", "&acirc;": "â", "&ccedil;": "ç", "&egrave;": "è", "&eacute;": "é",
-    "&ecirc;": "ê", "&euml;": "ë", "&icirc;": "î", "&iuml;": "ï", "&ocirc;": "ô", "&ugrave;": "ù", "&ucirc;": "û",
-    "&Agrave;": "À", "&Ccedil;": "Ç", "&Eacute;": "É", "&Egrave;": "È", "&Ecirc;": "Ê",
+    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "euro": "€",
+    "sup2": "²", "middot": "·", "ndash": "–", "mdash": "—", "hellip": "…", "rsquo": "’", "laquo": "«",
+    "raquo": "»", "deg": "°", "agrave": "à", "acirc": "â", "ccedil": "ç", "egrave": "è", "eacute": "é",
+    "ecirc": "ê", "euml": "ë", "icirc": "î", "iuml": "ï", "ocirc": "ô", "ugrave": "ù", "ucirc": "û",
+    "Agrave": "À", "Ccedil": "Ç", "Eacute": "É", "Egrave": "È", "Ecirc": "Ê",
 }
+_ENTITY = "&(?:#[0-9]{1,6}|#[xX][0-9a-fA-F]{1,5}|[a-zA-Z][a-zA-Z0-9]{1,7});"
 
 
-def unescape(text: Column) -> Column:
-    """Decode named and numeric entities."""
-    code = lambda ref: F.when(
-        F.lower(ref).startswith("&#x"), F.conv(F.substring(ref, 4, 8).cast("string"), 16, 10)
-    ).otherwise(F.regexp_extract(ref, "([0-9]+)", 1)).try_cast("bigint")
+def _letter(ref: Column) -> Column:
+    """The letter an entity stands for; unknown ones stay as they are."""
+    name = F.regexp_replace(ref, "[&;]", "")
+    digits = F.when(F.lower(name).startswith("#x"), F.conv(F.substring(name, 3, 5), 16, 10)).otherwise(F.substring(name, 2, 6))
+    letter = F.decode(F.unhex(F.lpad(F.hex(digits.try_cast("bigint")), 4, "0")), "UTF-16BE")
+    named = F.try_element_at(F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair]), name)
+    numeric = F.when(name.startswith("#") & digits.try_cast("bigint").between(1, 0xD7FF), letter)
+    return F.coalesce(named, numeric, ref)
 
-    def put_letter(acc: Column, ref: Column) -> Column:
-        unit = F.lpad(F.hex(code(F.regexp_replace(ref, ";", ""))), 4, "0")
-        letter = F.when(code(F.regexp_replace(ref, ";", "")).between(1, 0xD7FF), F.decode(F.unhex(unit), "UTF-16BE"))
-        return F.replace(acc, ref, F.coalesce(letter, ref))
 
-    refs = F.array_distinct(F.regexp_extract_all(text, F.lit("&#(?:[0-9]{1,6}|[xX][0-9a-fA-F]{1,5});"), 0))
-    out = F.aggregate(refs, text, put_letter)
-    for name, letter in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(letter))
-    out = F.replace(out, F.lit("&amp;"), F.lit("&"))
-    return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
+def unescape(text: Column) -> Column:
+    """Decode named and numeric entities; an ampersand is decoded last, so nothing is decoded twice."""
+    refs = F.array_distinct(F.regexp_extract_all(text, F.lit(_ENTITY), 0))
+    others = F.filter(refs, lambda r: r != "&amp;")
+    out = F.aggregate(others, text, lambda acc, ref: F.replace(acc, ref, _letter(ref)))
+    return F.when(F.contains(text, F.lit("&")), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(text)
 
 
 def script_by_id(html: Column, element_id: str) -> Column:
-    body = F.regexp_extract(html, rf"(?is)<script[^>]*\bid\s*=\s*[\"']?{element_id}[\"'\s>][^>]*?>?(.*?)</script", 1)
+    body = F.regexp_extract(html, rf"(?is)<script(?=[^>]*\bid\s*=\s*[\"']?{element_id}[\"'\s>])[^>]*>(.*?)</script", 1)
     return F.nullif(F.trim(body), F.lit(""))
 
 
@@ -49,30 +49,38 @@ def without_hidden_markup(html: Column) -> Column:
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute of one tag, quoted or bare."""
+    """Text of an attribute of one tag, quoted or bare, entities not yet decoded; null when absent."""
     found = F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)", 1)
-    quoted = found.rlike("^[\"']")
-    value = F.when(quoted, F.substr(found, F.lit(2), F.length(found) - 2)).otherwise(found)
-    return F.when(found != "", unescape(value))
+    return F.regexp_replace(F.nullif(found, F.lit("")), "^[\"']|[\"']$", "")
 
 
 def link_targets(html: Column) -> Column:
     """The href values of all anchors in page order."""
     tags = F.regexp_extract_all(without_hidden_markup(html), F.lit(r"(?is)<a\s[^>]*?href\s*=[^>]*>"), 0)
-    return F.filter(F.transform(tags, lambda t: attribute(t, "href")), lambda h: h.isNotNull())
+    values = F.filter(F.transform(tags, lambda t: attribute(t, "href")), lambda h: h.isNotNull())
+    return F.transform(values, unescape)
+
+
+def meta_tags(html: Column) -> Column:
+    """All meta tags as (property, name, content)."""
+    tags = F.regexp_extract_all(html, F.lit(r"(?is)<meta\s[^>]*>"), 0)
+    return F.transform(tags, lambda t: F.struct(
+        attribute(t, "property").alias("property"), attribute(t, "name").alias("name"),
+        attribute(t, "content").alias("content"),
+    ))
 
 
 def meta_content(metas: Column, name: str) -> Column:
-    """Content of the first meta tag with this property, else with this name."""
+    """Content of the first meta tag with this property, else with this name (entities not yet decoded)."""
     def first(kind: str) -> Column:
-        pattern = rf"(?i)\s{kind}\s*=\s*[\"']?\Q{name}\E[\"'\s/>]"
-        return attribute(F.try_element_at(F.filter(metas, lambda m: m.rlike(pattern)), F.lit(1)), "content")
+        return F.try_element_at(F.filter(metas, lambda m: m[kind] == name), F.lit(1))["content"]
 
     return F.coalesce(first("property"), first("name"))
 
 
 def page_title(html: Column) -> Column:
-    return F.nullif(F.trim(unescape(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title", 1))), F.lit(""))
+    """Text of the title element, entities not yet decoded."""
+    return F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title", 1)
 
 
 # --- urls ------------------------------------------------------------------

@@ -12,6 +12,7 @@ from ..functions import html as H
 from ..functions.listing import detect_type, energy_grade, strip
 from ..functions.numbers import leading_number, parse_number_compact, parse_number_fr
 from ..functions.text import amenity_flags, contains_any
+from .listings import FIELD_ALIASES
 
 # --- links -----------------------------------------------------------------
 
@@ -79,42 +80,10 @@ def parse_titles(df: DataFrame, title: str = "title") -> DataFrame:
     return df.withColumns(title_fields(F.col(title)))
 
 
-# --- JSON as variant: parsed once per page, then read by path ---------------
-
-class Json:
-    """A variant column read by path; every getter takes alternatives in order."""
-
-    def __init__(self, value: Column):
-        self.value = value
-
-    def at(self, *paths: str) -> "Json":
-        found = [F.try_variant_get(self.value, "$" + p, "variant") for p in paths]
-        out = F.lit(None).cast("variant")
-        for f in reversed(found):
-            out = F.when(f.isNotNull() & ~F.is_variant_null(f), f).otherwise(out)
-        return Json(out)
-
-    def text(self, *paths: str) -> Column:
-        return F.coalesce(*[F.try_variant_get(self.value, "$" + p, "string") for p in paths])
-
-    def items(self, *paths: str) -> Column:
-        return F.coalesce(*[F.try_variant_get(self.value, "$" + p, "array<variant>") for p in paths])
-
-    def number(self, *paths: str) -> Column:
-        """First alternative that is a number, blanks as thousands separators."""
-        return F.coalesce(*[parse_number_compact(F.try_variant_get(self.value, "$" + p, "string")) for p in paths])
-
-    def one_number(self, *paths: str) -> Column:
-        """The first alternative present, as a number."""
-        return parse_number_compact(self.text(*paths))
-
-    def flag(self, *paths: str) -> Column:
-        return F.coalesce(*[
-            F.when(F.schema_of_variant(F.try_variant_get(self.value, "$" + p, "variant")) == "BOOLEAN",
-                   F.try_variant_get(self.value, "$" + p, "boolean"))
-            for p in paths
-        ])
-
+# --- layers ----------------------------------------------------------------
+#
+# Each JSON text is parsed once into a struct of the fields that are read; the
+# stages below are separate columns so that no text is parsed again per field.
 
 _FIELD_TYPES = {
     "title": "string", "type": "string", "price": "double", "surface": "double", "rooms": "double",
@@ -129,27 +98,44 @@ _CLEAN: Mapping[str, Callable[[Column], Column]] = {
 }
 
 
-def _layer(fields: Mapping[str, Column]) -> Column:
+def _layer(fields: Mapping[str, Column], clean: bool = True) -> Column:
     """A struct with every listing field, absent ones null."""
-    return F.struct(*[
-        (_CLEAN.get(name, lambda c: c)(fields[name]) if name in fields else F.lit(None)).cast(kind).alias(name)
-        for name, kind in _FIELD_TYPES.items()
-    ])
+    def value(name: str) -> Column:
+        if name not in fields:
+            return F.lit(None)
+        return _CLEAN[name](fields[name]) if clean and name in _CLEAN else fields[name]
+
+    return F.struct(*[value(name).cast(kind).alias(name) for name, kind in _FIELD_TYPES.items()])
+
+
+def _schema(texts: str = "", flags: str = "", photos: str = "", **nested: str) -> str:
+    """DDL of a JSON object: text and flag names, lists of texts, and nested objects."""
+    parts = [f"`{n}`:string" for n in texts.split()] + [f"`{n}`:boolean" for n in flags.split()]
+    parts += [f"`{n}`:array<string>" for n in photos.split()] + [f"`{n}`:{kind}" for n, kind in nested.items()]
+    return f"struct<{','.join(parts)}>"
+
+
+def _pick(parent: str, *names: str) -> Column:
+    return F.coalesce(*[F.col(f"{parent}.{n}") for n in names])
+
+
+def _first_number(*texts: Column) -> Column:
+    return F.coalesce(*[parse_number_compact(t) for t in texts])
+
+
+def _cols(parent: str, *names: str) -> list[Column]:
+    return [F.col(f"{parent}.{n}") for n in names]
 
 
 def _photo_urls(items: Column) -> Column:
+    """Photo urls from texts or from objects that name one."""
     def url(item: Column) -> Column:
-        j = Json(item)
-        named = j.text(".url", ".src", ".href", ".path", ".large", ".medium")
-        return F.coalesce(named, F.try_variant_get(item, "$", "string"))
+        named = [F.get_json_object(item, f"$.{n}") for n in ("url", "src", "href", "path", "large", "medium")]
+        return F.when(item.startswith("{"), F.coalesce(*named)).otherwise(item)
 
     return F.filter(F.transform(items, url), lambda u: u.startswith("http"))
 
 
-def _any_of(parents: Sequence[str], *names: str) -> list[str]:
-    return [f"{parent}.{name}" for parent in parents for name in names]
-
-
 # Where each site keeps its listing inside the page state.
 STATE_PATHS = {
     "seloger": ("listingData.listing", "ad", "listing", "property"),
@@ -157,161 +143,220 @@ STATE_PATHS = {
     "bienici": ("propertyAd", "ad", "listing"),
     "": ("listing", "ad", "property", "announcement", "offer"),
 }
+_AMENITIES = ("elevator", "parking", "cellar", "balcony", "terrace", "furnished")
+_NUMBERS = ("price", "surface", "rooms", "bedrooms", "lat", "lon", "charges", "deposit", "fees")
+_TEXTS = ("title", "address", "city", "postalCode", "floor", "description")
+
+# The fields read from each site's listing object.
+_DETAILS = _schema(
+    "surface area roomsQuantity nbRooms rooms bedroomsQuantity nbBedrooms bedrooms floor floorNumber etage"
+    " energyClassification dpe gasEmission ges charges depositAmount",
+    "elevator hasElevator parking hasParking cellar hasCellar balcony hasBalcony terrace hasTerrace isFurnished furnished",
+)
+_PLACE = _schema("address fullAddress completeAddress city cityLabel locality postalCode zipCode lat latitude lng lon longitude")
+_LISTING_SCHEMAS = {
+    "seloger": _schema(
+        "title publicationTitle price pricePerMonth surface rooms bedrooms floor charges deposit description"
+        " propertyType estateType type", "isFurnished", "photos images",
+        prices=_schema("displayedPrice pricePerMonth"), characteristics=_DETAILS, features=_DETAILS, details=_DETAILS,
+        location=_PLACE, perimeter=_PLACE, address=_PLACE,
+    ),
+    "leboncoin": _schema(
+        "subject title price body description category_name", "", "price_cents",
+        attributes=f"array<{_schema('key value', '', 'values')}>",
+        location=_schema("address city_label city zipcode lat latitude lng longitude"),
+        images=_schema("", "", "urls_large urls thumb_url"),
+    ),
+    "bienici": _schema(
+        "title propertyTitle price monthlyPrice surfaceArea surface roomsCount rooms bedroomsCount bedrooms address"
+        " streetAddress city postalCode blurInfo lat lon floor energyClassification dpe gasEmission ges monthlyCharges"
+        " charges deposit description propertyType type",
+        "hasElevator elevator hasParkingLot parking hasCellar cellar hasBalcony balcony hasTerrace terrace isFurnished furnished",
+        "photos images", coordinates=_schema("lat lon lng"), position=_schema("lat lon lng"),
+    ),
+    "": _schema(
+        " ".join(_TEXTS) + " " + " ".join(dict.fromkeys(
+            a for n in (*_NUMBERS, "type", "dpe", "ges") for a in FIELD_ALIASES[n]
+        )), " ".join(_AMENITIES), "photos",
+    ),
+}
 
 
-def _seloger(j: Json) -> Column:
-    c = j.at(".characteristics", ".features", ".details")
-    loc = j.at(".location", ".perimeter", ".address")
-    text = F.to_json(j.value)
-    deep = lambda key: parse_number_compact(
-        F.nullif(F.regexp_extract(text, rf'"{key}":"?([0-9][^",}}\]]*)', 1), F.lit(""))
-    )
+def _state_schema(site: str) -> str:
+    """DDL of the page state around the site's listing paths."""
+    listing, inner = _LISTING_SCHEMAS[site], {}
+    for path in STATE_PATHS[site]:
+        head, _, rest = path.partition(".")
+        inner[head] = f"struct<`{rest}`:{listing}>" if rest else listing
+    return f"struct<props:struct<pageProps:{_schema(**inner)}>>"
+
+
+def _seloger(j: str, deep: Column) -> Column:
+    """Fields of a listing struct ``j`` and its details; ``deep`` is its JSON text, searched when no path has a number."""
+    c = lambda *names: F.coalesce(*[F.col(f"{j}.{p}.{n}") for n in names for p in ("characteristics", "features", "details")])
+    loc = lambda *names: F.coalesce(*[F.col(f"{j}.{p}.{n}") for n in names for p in ("location", "perimeter", "address")])
+    find = lambda key: parse_number_compact(F.nullif(F.regexp_extract(deep, rf'"{key}"\s*:\s*"?([0-9][^",}}\]]*)', 1), F.lit("")))
     return _layer({
-        "title": j.text(".title", ".publicationTitle"),
+        "title": _pick(j, "title", "publicationTitle"),
         "price": F.coalesce(
-            j.number(".prices.displayedPrice", ".prices.pricePerMonth", ".price", ".pricePerMonth"),
-            deep("displayedPrice"), deep("pricePerMonth"), deep("price"),
+            _first_number(*_cols(j, "prices.displayedPrice", "prices.pricePerMonth", "price", "pricePerMonth")),
+            find("displayedPrice"), find("pricePerMonth"), find("price"),
         ),
-        "surface": F.coalesce(c.number(".surface", ".area"), j.number(".surface"), deep("surface")),
+        "surface": F.coalesce(_first_number(c("surface"), c("area"), *_cols(j, "surface")), find("surface")),
         "rooms": F.coalesce(
-            c.number(".roomsQuantity", ".nbRooms", ".rooms"), j.number(".rooms"), deep("roomsQuantity"), deep("nbRooms")
-        ),
-        "bedrooms": parse_number_compact(
-            F.coalesce(c.text(".bedroomsQuantity", ".nbBedrooms", ".bedrooms"), j.text(".bedrooms"))
+            _first_number(c("roomsQuantity"), c("nbRooms"), c("rooms"), *_cols(j, "rooms")), find("roomsQuantity"), find("nbRooms")
         ),
-        "address": loc.text(".address", ".fullAddress", ".completeAddress"),
-        "city": loc.text(".city", ".cityLabel", ".locality"),
-        "postalCode": loc.text(".postalCode", ".zipCode"),
-        "lat": loc.one_number(".lat", ".latitude"),
-        "lon": loc.one_number(".lng", ".lon", ".longitude"),
-        "floor": F.coalesce(c.text(".floor", ".floorNumber", ".etage"), j.text(".floor")),
-        "elevator": c.flag(".elevator", ".hasElevator"), "parking": c.flag(".parking", ".hasParking"),
-        "cellar": c.flag(".cellar", ".hasCellar"), "balcony": c.flag(".balcony", ".hasBalcony"),
-        "terrace": c.flag(".terrace", ".hasTerrace"),
-        "furnished": F.coalesce(c.flag(".isFurnished", ".furnished"), j.flag(".isFurnished")),
-        "dpe": c.text(".energyClassification", ".dpe"), "ges": c.text(".gasEmission", ".ges"),
-        "charges": parse_number_compact(F.coalesce(c.text(".charges"), j.text(".charges"))),
-        "deposit": parse_number_compact(F.coalesce(c.text(".depositAmount"), j.text(".deposit"))),
-        "description": j.text(".description"),
-        "type": j.text(".propertyType", ".estateType", ".type"),
-        "photos": _photo_urls(j.items(".photos", ".images")),
+        "bedrooms": parse_number_compact(F.coalesce(c("bedroomsQuantity", "nbBedrooms", "bedrooms"), *_cols(j, "bedrooms"))),
+        "address": loc("address", "fullAddress", "completeAddress"), "city": loc("city", "cityLabel", "locality"),
+        "postalCode": loc("postalCode", "zipCode"), "lat": parse_number_compact(loc("lat", "latitude")),
+        "lon": parse_number_compact(loc("lng", "lon", "longitude")),
+        "floor": F.coalesce(c("floor", "floorNumber", "etage"), *_cols(j, "floor")),
+        "elevator": c("elevator", "hasElevator"), "parking": c("parking", "hasParking"), "cellar": c("cellar", "hasCellar"),
+        "balcony": c("balcony", "hasBalcony"), "terrace": c("terrace", "hasTerrace"),
+        "furnished": F.coalesce(c("isFurnished", "furnished"), *_cols(j, "isFurnished")),
+        "dpe": c("energyClassification", "dpe"), "ges": c("gasEmission", "ges"),
+        "charges": parse_number_compact(F.coalesce(c("charges"), *_cols(j, "charges"))),
+        "deposit": parse_number_compact(F.coalesce(c("depositAmount"), *_cols(j, "deposit"))),
+        "description": _pick(j, "description"), "type": _pick(j, "propertyType", "estateType", "type"),
+        "photos": _photo_urls(_pick(j, "photos", "images")),
     })
 
 
-def _leboncoin(j: Json) -> Column:
-    attributes = j.items(".attributes")
+def _leboncoin(j: str) -> Column:
+    def last_attribute(name: str) -> Column:
+        return F.try_element_at(F.filter(F.col(f"{j}.attributes"), lambda a: a["key"] == name), F.lit(-1))
 
     def attr(*names: str) -> Column:
-        values = []
-        for name in names:
-            last = Json(F.try_element_at(
-                F.filter(attributes, lambda a: F.try_variant_get(a, "$.key", "string") == name), F.lit(-1)
-            ))
-            values.append(last.text(".value", ".values[0]"))
-        return F.coalesce(*values)
+        last = [last_attribute(n) for n in names]
+        return F.coalesce(*[v for a in last for v in (a["value"], F.get(a["values"], 0))])
 
+    bracket = lambda c: F.regexp_replace(c, r"^\[", "")  # noqa: E731 - a price may be a one-element list
     return _layer({
-        "title": j.text(".subject", ".title"),
-        "price": F.coalesce(j.number(".price[0]", ".price"), j.number(".price_cents[0]") / 100),
+        "title": _pick(j, "subject", "title"),
+        "price": F.coalesce(
+            parse_number_compact(bracket(F.col(f"{j}.price"))), parse_number_compact(F.get(F.col(f"{j}.price_cents"), 0)) / 100
+        ),
         "surface": parse_number_compact(attr("square", "surface_habitable", "surface")),
-        "rooms": parse_number_compact(attr("rooms", "nb_rooms")),
-        "bedrooms": parse_number_compact(attr("rooms_count", "nb_bedrooms")),
-        "address": j.text(".location.address", ".location.city_label"),
-        "city": j.text(".location.city"), "postalCode": j.text(".location.zipcode"),
-        "lat": j.one_number(".location.lat", ".location.latitude"),
-        "lon": j.one_number(".location.lng", ".location.longitude"),
+        "rooms": parse_number_compact(attr("rooms", "nb_rooms")), "bedrooms": parse_number_compact(attr("rooms_count", "nb_bedrooms")),
+        "address": _pick(j, "location.address", "location.city_label"), "city": _pick(j, "location.city"),
+        "postalCode": _pick(j, "location.zipcode"), "lat": parse_number_compact(_pick(j, "location.lat", "location.latitude")),
+        "lon": parse_number_compact(_pick(j, "location.lng", "location.longitude")),
         "furnished": F.coalesce(attr("furnished").isin("1", "true"), F.lit(False)),
-        "dpe": attr("energy_rate"), "ges": attr("ges"),
-        "charges": parse_number_compact(attr("monthly_charges")),
-        "deposit": parse_number_compact(attr("security_deposit")),
-        "description": j.text(".body", ".description"),
-        "type": F.coalesce(attr("real_estate_type", "property_type"), j.text(".category_name")),
-        "photos": F.coalesce(*[
-            F.try_variant_get(j.value, f"$.images.{n}", "array<string>") for n in ("urls_large", "urls", "thumb_url")
-        ]),
+        "dpe": attr("energy_rate"), "ges": attr("ges"), "charges": parse_number_compact(attr("monthly_charges")),
+        "deposit": parse_number_compact(attr("security_deposit")), "description": _pick(j, "body", "description"),
+        "type": F.coalesce(attr("real_estate_type", "property_type"), *_cols(j, "category_name")),
+        "photos": _pick(j, "images.urls_large", "images.urls", "images.thumb_url"),
     })
 
 
-def _bienici(j: Json) -> Column:
-    shown = ~F.coalesce(~j.text(".blurInfo").isin("", "false", "0"), F.lit(False))
-    at = lambda *names: j.one_number(*_any_of((".coordinates", ".position"), *names), f".{names[0]}")
+def _bienici(j: str) -> Column:
+    number = lambda *names: parse_number_compact(_pick(j, *names))
+    blurred = F.coalesce(~_pick(j, "blurInfo").isin("", "false", "0"), F.lit(False))
+    place = lambda *names: number(*[f"{p}.{n}" for n in names for p in ("coordinates", "position")], names[0])
     return _layer({
-        "title": j.text(".title", ".propertyTitle"), "price": j.one_number(".price", ".monthlyPrice"),
-        "surface": j.one_number(".surfaceArea", ".surface"), "rooms": j.one_number(".roomsCount", ".rooms"),
-        "bedrooms": j.one_number(".bedroomsCount", ".bedrooms"), "address": j.text(".address", ".streetAddress"),
-        "city": j.text(".city"), "postalCode": j.text(".postalCode"),
-        "lat": F.when(shown, at("lat")), "lon": F.when(shown, at("lon", "lng")),
-        "floor": j.text(".floor"), "elevator": j.flag(".hasElevator", ".elevator"),
-        "parking": j.flag(".hasParkingLot", ".parking"), "cellar": j.flag(".hasCellar", ".cellar"),
-        "balcony": j.flag(".hasBalcony", ".balcony"), "terrace": j.flag(".hasTerrace", ".terrace"),
-        "furnished": j.flag(".isFurnished", ".furnished"), "dpe": j.text(".energyClassification", ".dpe"),
-        "ges": j.text(".gasEmission", ".ges"), "charges": j.one_number(".monthlyCharges", ".charges"),
-        "deposit": j.one_number(".deposit"), "description": j.text(".description"),
-        "type": j.text(".propertyType", ".type"), "photos": _photo_urls(j.items(".photos", ".images")),
+        "title": _pick(j, "title", "propertyTitle"), "price": number("price", "monthlyPrice"),
+        "surface": number("surfaceArea", "surface"), "rooms": number("roomsCount", "rooms"),
+        "bedrooms": number("bedroomsCount", "bedrooms"), "address": _pick(j, "address", "streetAddress"),
+        "city": _pick(j, "city"), "postalCode": _pick(j, "postalCode"),
+        "lat": F.when(~blurred, place("lat")), "lon": F.when(~blurred, place("lon", "lng")),
+        "floor": _pick(j, "floor"), "elevator": _pick(j, "hasElevator", "elevator"),
+        "parking": _pick(j, "hasParkingLot", "parking"), "cellar": _pick(j, "hasCellar", "cellar"),
+        "balcony": _pick(j, "hasBalcony", "balcony"), "terrace": _pick(j, "hasTerrace", "terrace"),
+        "furnished": _pick(j, "isFurnished", "furnished"), "dpe": _pick(j, "energyClassification", "dpe"),
+        "ges": _pick(j, "gasEmission", "ges"), "charges": number("monthlyCharges", "charges"), "deposit": number("deposit"),
+        "description": _pick(j, "description"), "type": _pick(j, "propertyType", "type"),
+        "photos": _photo_urls(_pick(j, "photos", "images")),
     })
 
 
-def _generic(j: Json) -> Column:
-    from .listings import FIELD_ALIASES
-
-    numbers = ("price", "surface", "rooms", "bedrooms", "lat", "lon", "charges", "deposit", "fees")
-    texts = ("title", "address", "city", "postalCode", "floor", "description")
-    flags = ("elevator", "parking", "cellar", "balcony", "terrace", "furnished")
-    alias = lambda name: [f".{a}" for a in FIELD_ALIASES[name]]
+def _generic(j: str) -> Column:
     return _layer({
-        **{n: parse_number_fr(j.text(*alias(n))) for n in numbers},
-        **{n: j.text(f".{n}") for n in texts},
-        **{n: j.flag(f".{n}") for n in flags},
-        **{n: j.text(*alias(n)) for n in ("type", "dpe", "ges")},
-        "photos": F.try_variant_get(j.value, "$.photos", "array<string>"),
+        **{n: parse_number_fr(_pick(j, *FIELD_ALIASES[n])) for n in _NUMBERS},
+        **{n: _pick(j, n) for n in (*_TEXTS, *_AMENITIES)},
+        **{n: _pick(j, *FIELD_ALIASES[n]) for n in ("type", "dpe", "ges")},
+        "photos": _pick(j, "photos"),
     })
 
 
-_SITES = {"seloger": _seloger, "leboncoin": _leboncoin, "bienici": _bienici}
+def _on_site(host: Column, site: str) -> Column:
+    if site:
+        return F.contains(host, F.lit(site))
+    return ~contains_any(host, [s for s in STATE_PATHS if s])
 
 
-def _is_site(host: Column, name: str) -> Column:
-    return F.contains(host, F.lit(name))
+# A page state may be in the page data or in a window variable; both are read alike.
+_STATE_TEXTS = {"state": "_state_text", "window": "_window_text"}
 
 
-def _site_listing(state: Json, host: Column) -> Column:
-    """The listing object inside a page state, by the site's paths."""
-    def at(site: str) -> Column:
-        return state.at(*[f".props.pageProps.{p}" for p in STATE_PATHS[site]]).value
+def _parsed_states() -> dict[str, Column]:
+    """Each state text parsed with the schema of the page's site."""
+    return {
+        f"_s_{layer}_{site}": F.from_json(F.when(_on_site(F.col("_host"), site), F.col(text)), _state_schema(site))
+        for layer, text in _STATE_TEXTS.items() for site in STATE_PATHS
+    }
 
-    out = at("")
-    for site in reversed(list(_SITES)):
-        out = F.when(_is_site(host, site), at(site)).otherwise(out)
-    return out
 
+def _state_listings() -> dict[str, Column]:
+    """The listing object at the first path that holds one."""
+    return {
+        f"_j_{layer}_{site}": F.coalesce(*[F.col(f"_s_{layer}_{site}.props.pageProps.{p}") for p in paths])
+        for layer in _STATE_TEXTS for site, paths in STATE_PATHS.items()
+    }
 
-def _state_layer(listing: Column, host: Column) -> Column:
-    out = _generic(Json(listing))
-    for site in reversed(list(_SITES)):
-        out = F.when(_is_site(host, site), _SITES[site](Json(listing))).otherwise(out)
-    return F.when(listing.isNotNull(), out)
+
+def _state_layer(layer: str) -> Column:
+    readers = {
+        "seloger": lambda j: _seloger(j, F.col(_STATE_TEXTS[layer])), "leboncoin": _leboncoin, "bienici": _bienici, "": _generic,
+    }
+    chosen = F.lit(None)
+    for site, read in readers.items():
+        j = f"_j_{layer}_{site}"
+        chosen = F.when(F.col(j).isNotNull(), read(j)).otherwise(chosen)
+    return chosen
 
 
-def _window_states(html: Column) -> Column:
-    """State objects assigned to known window variables, in script order."""
+def _window_text(html: Column, host: Column) -> Column:
+    """The first state text, assigned to a known window variable, that holds a listing of the page's site."""
     scripts = F.filter(H.script_bodies(html), lambda s: F.contains(s, F.lit("window")))
-    found = []
+    patterns = []
     for name in K.STATE_VARIABLES:
         core = name.removeprefix("__").removesuffix("__")
-        pattern = rf'(?m)window(?:\["{name}"\]|\.__{core}__)\s*=\s*(\{{[\s\S]+?\}});?\s*(?:window|$)'
-        found.append(pattern)
-    per_script = F.transform(
-        scripts, lambda s: F.array(*[F.nullif(F.regexp_extract(s, p, 1), F.lit("")) for p in found])
-    )
-    return F.filter(F.flatten(per_script), lambda t: t.isNotNull())
-
+        patterns.append(rf'(?m)window(?:\["{name}"\]|\.__{core}__)\s*=\s*(\{{[\s\S]+?\}});?\s*(?:window|$)')
+    texts = F.flatten(F.transform(
+        scripts, lambda s: F.array(*[F.nullif(F.regexp_extract(s, p, 1), F.lit("")) for p in patterns])
+    ))
 
-def _hydration(html: Column) -> Column:
-    """Listing sections of pages whose state is a JSON text inside a JSON text."""
+    def holds_listing(text: Column) -> Column:
+        hit = F.lit(False)
+        for site, paths in STATE_PATHS.items():
+            found = F.coalesce(*[F.get_json_object(text, f"$.props.pageProps.{p}") for p in paths])
+            hit = hit | (_on_site(host, site) & found.isNotNull())
+        return text.isNotNull() & hit
+
+    first = F.try_element_at(F.filter(texts, holds_listing), F.lit(1))
+    return F.when(html.rlike(r"window(\.__|\[)"), first)
+
+
+_HYDRATED = _schema(
+    hardFacts=_schema("title", facts=f"array<{_schema('type splitValue value')}>", price=_schema("ariaLabel")),
+    price=_schema(
+        additional=f"array<{_schema('label text')}>",
+        components="array<struct<units:array<struct<details:array<struct<prices:array<"
+        "struct<label:struct<main:string>,value:struct<main:struct<ariaLabel:string>>>>>>>>>>",
+    ),
+    energy="struct<certificates:array<struct<scales:array<struct<name:string,efficiencyClass:struct<rating:string>>>>>>",
+    features=f"struct<preview:array<{_schema('icon value')}>>",
+    location=_schema(address=_schema("city zipCode"), geometry="struct<coordinates:array<double>>"),
+    gallery="struct<images:array<struct<url:string>>>",
+    mainDescription=_schema("description headline"), description=_schema("description"),
+)
+
+
+def _hydration_text(html: Column) -> Column:
+    """The state of pages that hold it as a JSON text inside a JSON text."""
     body = H.script_by_id(html, "__UFRN_LIFECYCLE_SERVERREQUEST__")
     literal = F.regexp_extract(body, r'(?s)JSON\.parse\((".*?(?<!\\)(?:\\\\){0,8}")\)', 1)
-    inner = F.try_variant_get(F.try_parse_json(F.nullif(literal, F.lit(""))), "$", "string")
-    return F.try_variant_get(F.try_parse_json(inner), "$.app_cldp.data.classified.sections", "variant")
+    return F.from_json(F.concat(F.lit('{"v":'), F.nullif(literal, F.lit("")), F.lit("}")), "v string")["v"]
 
 
 def _number_in(text: Column) -> Column:
@@ -320,151 +365,148 @@ def _number_in(text: Column) -> Column:
     return leading_number(F.replace(F.regexp_extract(compact, r"([0-9]+(?:[.,][0-9]+)?)", 1), F.lit(","), F.lit(".")))
 
 
-def _hydration_layer(sections: Column) -> Column:
-    j = Json(sections)
-    facts, details = j.items(".hardFacts.facts"), j.items(".price.components[0].units[0].details[0].prices")
-    additional, features = j.items(".price.additional"), j.items(".features.preview")
-    scales = F.flatten(F.transform(
-        j.items(".energy.certificates"),
-        lambda c: F.coalesce(F.try_variant_get(c, "$.scales", "array<variant>"), F.array().cast("array<variant>")),
-    ))
-    field = lambda v, path: F.coalesce(F.try_variant_get(v, "$." + path, "string"), F.lit(""))
+def _hydration_layer(j: str) -> Column:
+    at = lambda path: F.col(f"{j}.{path}")
 
-    def last(items: Column, test: Callable[[Column], Column], position: int = -1) -> Column:
+    def pick(items: Column, test: Callable[[Column], Column], position: int = -1) -> Column:
         return F.try_element_at(F.filter(items, test), F.lit(position))
 
-    def fact(kind: str, path: str) -> Column:
-        return field(last(facts, lambda f: field(f, "type") == kind), path)
+    def fact(kind: str) -> Column:
+        return pick(at("hardFacts.facts"), lambda f: f["type"] == kind)
+
+    scales = F.flatten(F.transform(at("energy.certificates"), lambda c: F.coalesce(c["scales"], F.array())))
 
     def grade(*words: str) -> Column:
-        hit = last(scales, lambda s: contains_any(F.lower(field(s, "name")), words))
-        return F.substring(F.trim(field(hit, "efficiencyClass.rating")), 1, 1)
+        rating = pick(scales, lambda s: contains_any(F.lower(s["name"]), words))["efficiencyClass"]["rating"]
+        return F.substring(F.trim(rating), 1, 1)
 
     def feature(*icons: str) -> Column:
-        hit = last(features, lambda f: F.lower(field(f, "icon")).isin(*icons))
-        value = F.lower(field(hit, "value"))
-        return F.when(hit.isNotNull(), ~(value.startswith("pas de") | value.startswith("sans")))
-
-    furnished = last(features, lambda f: F.lower(field(f, "icon")) == "furnished")
-    charge = last(details, lambda p: F.contains(F.lower(field(p, "label.main")), F.lit("charge")), 1)
-    deposit = last(additional, lambda p: F.contains(F.lower(field(p, "label")), F.lit("garantie")), 1)
-    title = F.nullif(strip(j.text(".hardFacts.title", ".mainDescription.headline")), F.lit(""))
+        value = F.lower(pick(at("features.preview"), lambda f: F.lower(f["icon"]).isin(*icons))["value"])
+        return ~(value.startswith("pas de") | value.startswith("sans"))
+
+    furnished = F.lower(pick(at("features.preview"), lambda f: F.lower(f["icon"]) == "furnished")["value"])
+    prices = F.get(F.get(F.get(at("price.components"), 0)["units"], 0)["details"], 0)["prices"]
+    charge = pick(prices, lambda p: F.contains(F.lower(p["label"]["main"]), F.lit("charge")), 1)
+    deposit = pick(at("price.additional"), lambda p: F.contains(F.lower(p["label"]), F.lit("garantie")), 1)
+    title = F.nullif(strip(F.coalesce(at("hardFacts.title"), at("mainDescription.headline"))), F.lit(""))
     low = F.lower(title)
     kind = (
         F.when(low.contains("studio"), "studio")
         .when(contains_any(low, ("appartement", "duplex", "t1", "t2", "t3")), "appartement")
         .when(contains_any(low, ("maison", "villa")), "maison")
     )
-    return F.when(sections.isNotNull(), _layer({
-        "title": title, "type": kind, "price": _number_in(j.text(".hardFacts.price.ariaLabel")),
-        "charges": _number_in(field(charge, "value.main.ariaLabel")),
-        "surface": parse_number_compact(fact("livingSpace", "splitValue")),
-        "rooms": F.floor(leading_number(fact("numberOfRooms", "splitValue"))),
-        "bedrooms": F.floor(leading_number(fact("numberOfBedrooms", "splitValue"))),
-        "floor": F.nullif(fact("numberOfFloors", "value"), F.lit("")),
-        "furnished": F.when(furnished.isNotNull(), ~F.contains(F.lower(field(furnished, "value")), F.lit("non meublé"))),
-        "deposit": leading_number(F.replace(field(deposit, "text"), F.lit(","), F.lit("."))),
+    images = F.filter(F.transform(at("gallery.images"), lambda i: i["url"]), lambda u: u.startswith("http"))
+    return F.when(F.col(j).isNotNull(), _layer({
+        "title": title, "type": kind, "price": _number_in(at("hardFacts.price.ariaLabel")),
+        "charges": _number_in(charge["value"]["main"]["ariaLabel"]),
+        "surface": parse_number_compact(fact("livingSpace")["splitValue"]),
+        "rooms": F.floor(leading_number(fact("numberOfRooms")["splitValue"])),
+        "bedrooms": F.floor(leading_number(fact("numberOfBedrooms")["splitValue"])),
+        "floor": F.nullif(fact("numberOfFloors")["value"], F.lit("")), "furnished": ~F.contains(furnished, F.lit("non meublé")),
+        "deposit": leading_number(F.replace(deposit["text"], F.lit(","), F.lit("."))),
         "dpe": grade("dpe", "performance"), "ges": grade("ges", "serre"),
-        "elevator": feature("elevator"), "parking": feature("parking", "parking-lots"),
-        "cellar": feature("cellar"), "balcony": feature("balcony"), "terrace": feature("terrace"),
-        "description": F.nullif(strip(j.text(".mainDescription.description", ".description.description")), F.lit("")),
-        "city": F.nullif(j.text(".location.address.city"), F.lit("")),
-        "postalCode": F.nullif(j.text(".location.address.zipCode"), F.lit("")),
-        "lat": j.number(".location.geometry.coordinates[1]"), "lon": j.number(".location.geometry.coordinates[0]"),
-        "photos": F.nullif(
-            F.filter(F.transform(j.items(".gallery.images"), lambda i: field(i, "url")), lambda u: u.startswith("http")),
-            F.array().cast("array<string>"),
-        ),
+        "elevator": feature("elevator"), "parking": feature("parking", "parking-lots"), "cellar": feature("cellar"),
+        "balcony": feature("balcony"), "terrace": feature("terrace"),
+        "description": F.nullif(strip(F.coalesce(at("mainDescription.description"), at("description.description"))), F.lit("")),
+        "city": F.nullif(at("location.address.city"), F.lit("")), "postalCode": F.nullif(at("location.address.zipCode"), F.lit("")),
+        "lat": F.get(at("location.geometry.coordinates"), 1), "lon": F.get(at("location.geometry.coordinates"), 0),
+        "photos": F.when(F.size(images) > 0, images),
     }))
 
 
-def _jsonld_layer(html: Column) -> Column:
-    """First value per field over all schema.org blocks of the accepted types."""
+_JSONLD = _schema(
+    "@type name headline description price lowPrice floorSize numberOfRooms numberOfBedrooms image",
+    offers=_schema("price lowPrice"), geo=_schema("latitude longitude"),
+    address=_schema("streetAddress addressLocality postalCode"),
+)
+
+
+def _jsonld_blocks(html: Column) -> Column:
+    """Parsed schema.org blocks of the accepted types, in page order; invalid ones are skipped."""
     bodies = H.script_bodies(html, r"[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*")
-    blocks = F.transform(bodies, F.try_parse_json)
-    items = F.flatten(F.transform(
-        F.filter(blocks, lambda v: v.isNotNull()),
-        lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v)),
-    ))
-    listed = F.filter(items, lambda i: F.try_variant_get(i, "$['@type']", "string").isin(*K.JSONLD_TYPES))
+    texts = F.flatten(F.transform(bodies, lambda b: F.when(
+        F.trim(b).rlike(r"^\s*\["), F.coalesce(F.from_json(b, "array<string>"), F.array().cast("array<string>"))
+    ).otherwise(F.array(b))))
+    blocks = F.transform(texts, lambda t: F.from_json(t, _JSONLD))
+    return F.when(F.contains(html, F.lit("ld+json")), F.filter(blocks, lambda b: b["@type"].isin(*K.JSONLD_TYPES)))
 
-    def first(get: Callable[[Json], Column]) -> Column:
-        return F.try_element_at(F.filter(F.transform(listed, lambda i: get(Json(i))), lambda x: x.isNotNull()), F.lit(1))
 
-    def number(*paths: str) -> Column:
-        return first(lambda j: parse_number_fr(j.text(*paths)))
+def _jsonld_layer(blocks: Column) -> Column:
+    """First value per field over the blocks."""
+    def first(get: Callable[[Column], Column]) -> Column:
+        return F.try_element_at(F.filter(F.transform(blocks, get), lambda x: x.isNotNull()), F.lit(1))
 
-    def image(j: Json) -> Column:
-        return F.coalesce(
-            F.try_variant_get(j.value, "$.image", "array<string>"),
-            F.when(F.schema_of_variant(F.try_variant_get(j.value, "$.image", "variant")) == "STRING",
-                   F.array(j.text(".image"))),
-        )
+    def offer(b: Column) -> Column:
+        own = F.coalesce(b["offers"]["price"], b["offers"]["lowPrice"])
+        return F.when(b["offers"].isNull(), F.coalesce(b["price"], b["lowPrice"])).otherwise(own)
 
-    def offer(j: Json) -> Column:
-        own = j.text(".offers.price", ".offers.lowPrice")
-        return parse_number_fr(F.when(j.at(".offers").value.isNull(), j.text(".price", ".lowPrice")).otherwise(own))
+    def address(b: Column) -> Column:
+        return F.coalesce(b["address"]["streetAddress"], F.trim(b["address"]["addressLocality"]), F.lit(""))
 
-    def address(j: Json) -> Column:
-        return F.coalesce(j.text(".address.streetAddress"), F.trim(j.text(".address.addressLocality")), F.lit(""))
+    def size(b: Column) -> Column:
+        return F.coalesce(F.get_json_object(b["floorSize"], "$.value"), b["floorSize"])
 
-    return _layer({
-        "title": first(lambda j: j.text(".name", ".headline")),
-        "price": first(offer),
-        "description": first(lambda j: j.text(".description")),
-        "address": first(address),
-        "city": first(lambda j: j.text(".address.addressLocality")),
-        "postalCode": first(lambda j: j.text(".address.postalCode")),
-        "lat": number(".geo.latitude"), "lon": number(".geo.longitude"),
-        "surface": number(".floorSize.value", ".floorSize"), "rooms": number(".numberOfRooms"),
-        "bedrooms": number(".numberOfBedrooms"), "photos": first(image),
-    })
+    def image(b: Column) -> Column:
+        return F.when(b["image"].startswith("["), F.from_json(b["image"], "array<string>")).when(
+            ~b["image"].startswith("{"), F.array(b["image"])
+        )
 
+    number = lambda get: first(lambda b: parse_number_fr(get(b)))
+    return F.when(F.size(blocks) > 0, _layer({
+        "title": first(lambda b: F.coalesce(b["name"], b["headline"])), "price": number(offer),
+        "description": first(lambda b: b["description"]), "address": first(address),
+        "city": first(lambda b: b["address"]["addressLocality"]), "postalCode": first(lambda b: b["address"]["postalCode"]),
+        "lat": number(lambda b: b["geo"]["latitude"]), "lon": number(lambda b: b["geo"]["longitude"]), "surface": number(size),
+        "rooms": number(lambda b: b["numberOfRooms"]), "bedrooms": number(lambda b: b["numberOfBedrooms"]), "photos": first(image),
+    }))
 
-def _og_layer(html: Column) -> Column:
-    metas = F.regexp_extract_all(html, F.lit(r"(?is)<meta\s[^>]*>"), 0)
-    title = F.coalesce(H.meta_content(metas, "og:title"), H.page_title(html))
-    image = H.meta_content(metas, "og:image")
-    amount = leading_number(F.coalesce(H.meta_content(metas, "product:price:amount"), H.meta_content(metas, "og:price:amount")))
-    parsed = title_fields(title)
-    fields = {
-        **parsed,
-        "title": F.nullif(title, F.lit("")),
-        "description": F.nullif(
-            F.coalesce(H.meta_content(metas, "og:description"), H.meta_content(metas, "description")), F.lit("")
-        ),
-        "photos": F.when(image != "", F.array(image)),
-        "price": F.coalesce(F.when(amount != 0, amount), parsed["price"]),
+
+def _og_texts() -> dict[str, Column]:
+    meta = lambda name: H.meta_content(F.col("_metas"), name)
+    return {
+        "_title": F.coalesce(H.unescape(meta("og:title")), F.trim(H.unescape(F.col("_html_title")))),
+        "_about": H.unescape(F.coalesce(meta("og:description"), meta("description"))),
+        "_amount": leading_number(F.coalesce(meta("product:price:amount"), meta("og:price:amount"))),
+        "_image": H.unescape(meta("og:image")),
     }
-    # Open Graph values are taken as they are (no trimming, type already canonical).
-    return F.struct(*[
-        fields.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in _FIELD_TYPES.items()
-    ])
+
+
+def _og_layer() -> Column:
+    """Open Graph values are taken as they are (no trimming, type already canonical)."""
+    parsed = title_fields(F.col("_title"))
+    return _layer({
+        **parsed, "title": F.nullif("_title", F.lit("")), "description": F.nullif("_about", F.lit("")),
+        "photos": F.when(F.col("_image") != "", F.array("_image")),
+        "price": F.coalesce(F.when(F.col("_amount") != 0, F.col("_amount")), parsed["price"]),
+    }, clean=False)
 
 
 LAYERS = ("state", "window", "jsonld", "html", "og")
 
 
 def extract_layers(pages: DataFrame) -> DataFrame:
-    """Page columns but html, plus one struct of listing fields per layer."""
+    """Page columns but html, plus one struct of listing fields per layer (null when the page has none)."""
     html, host = F.col("html"), F.col("_host")
-    df = pages.withColumn("_host", H.url_host(F.col("url")))
-    df = df.withColumn("_state", F.try_parse_json(H.script_by_id(html, "__NEXT_DATA__")))
-    df = df.withColumn("_listing", _site_listing(Json(F.col("_state")), host))
-    states = F.transform(_window_states(html), lambda t: _site_listing(Json(F.try_parse_json(t)), host))
-    has_window = html.rlike(r"window(\.__|\[)")
-    df = df.withColumn(
-        "_window", F.when(has_window, F.try_element_at(F.filter(states, lambda v: v.isNotNull()), F.lit(1)))
+    root = f"struct<app_cldp:struct<data:struct<classified:struct<sections:{_HYDRATED}>>>>"
+    staged = (
+        pages.withColumn("_host", H.url_host(F.col("url")))
+        .withColumns({
+            "_state_text": H.script_by_id(html, "__NEXT_DATA__"), "_window_text": _window_text(html, host),
+            "_ld": _jsonld_blocks(html), "_metas": H.meta_tags(html), "_html_title": H.page_title(html),
+            "_hydration": F.when(contains_any(host, ("seloger", "logic-immo")), _hydration_text(html)),
+        })
+        .withColumns({
+            **_parsed_states(), **_og_texts(),
+            "_hydrated": F.from_json("_hydration", root)["app_cldp"]["data"]["classified"]["sections"],
+        })
+        .withColumns(_state_listings())
     )
-    is_hydrated = _is_site(host, "seloger") | _is_site(host, "logic-immo")
-    df = df.withColumn("_sections", F.when(is_hydrated, _hydration(html)))
-    df = df.withColumn("state", _state_layer(F.col("_listing"), host))
-    df = df.withColumn("window", _state_layer(F.col("_window"), host))
-    df = df.withColumn("jsonld", F.when(F.contains(html, F.lit("ld+json")), _jsonld_layer(html)))
-    df = df.withColumn("html_layer", _hydration_layer(F.col("_sections")))
-    df = df.withColumn("og", _og_layer(html))
     columns = [c for c in pages.columns if c != "html"]
-    return df.select(*columns, "state", "window", "jsonld", F.col("html_layer").alias("html"), "og")
+    return staged.select(
+        *columns, _state_layer("state").alias("state"), _state_layer("window").alias("window"),
+        _jsonld_layer(F.col("_ld")).alias("jsonld"), _hydration_layer("_hydrated").alias("html"), _og_layer().alias("og"),
+        F.spark_partition_id().alias("_task"),
+    )
 
 
 def merge_first_non_null(layers: DataFrame, order: Sequence[str] = LAYERS) -> DataFrame:
@@ -473,11 +515,13 @@ def merge_first_non_null(layers: DataFrame, order: Sequence[str] = LAYERS) -> Da
     merged = layers.select(
         *others, *[F.coalesce(*[F.col(f"{layer}.{name}") for layer in order]).alias(name) for name in _FIELD_TYPES]
     )
-    empty = (
-        F.coalesce(F.col("price"), F.lit(0.0)).eqNullSafe(0.0) & F.coalesce(F.col("surface"), F.lit(0.0)).eqNullSafe(0.0)
-        & (F.coalesce(F.col("title"), F.lit("")) == "")
-    )
-    return merged.where(~empty)
+    some = (F.coalesce("price", F.lit(0.0)) != 0) | (F.coalesce("surface", F.lit(0.0)) != 0)
+    kept = some | (F.coalesce("title", F.lit("")) != "")
+    if "_task" not in layers.columns:
+        return merged.where(kept)
+    # The task number keeps this filter above the extraction: pushed below, it
+    # would repeat the whole extraction inside its own condition.
+    return merged.where(kept & (F.col("_task") >= 0)).drop("_task")
 
 
 def page_listings(pages: DataFrame) -> DataFrame:

@@ -18,25 +18,30 @@ PIECES = 256
 
 
 def cumulative_counts(df: DataFrame, value: str, pieces: int = PIECES) -> DataFrame:
-    """Distinct non-null values with their count ``n`` and the count of values <= them ``upto``.
+    """Distinct non-null values with their count ``n``, the count of values <= them ``upto`` and ``total``.
 
-    One window per piece of the value range; the offsets table has at most
+    Equal values meet in a pre-aggregated row first, so copies cost nothing. One
+    window per piece of the value range follows; the offsets table has at most
     ``pieces`` + 1 rows, so broadcasting it is bounded by the parameter.
     """
-    present = df.where(F.col(value).isNotNull()).select(value)
-    cuts = present.agg(
-        F.percentile_approx(value, [i / pieces for i in range(1, pieces)], SKETCH_ACCURACY).alias("cuts")
+    counted = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+    cuts = counted.agg(
+        F.array_distinct(F.percentile_approx(value, [i / pieces for i in range(1, pieces)], SKETCH_ACCURACY)).alias("cuts")
+    )
+    cut = counted.withColumn("_cuts", cuts.scalar())
+    cut = cut.withColumn("_piece", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+    totals = cut.groupBy("_piece").agg(F.sum("n").alias("_total"))
+    every = Window.orderBy("_piece")
+    offsets = totals.select(
+        "_piece",
+        F.coalesce(F.sum("_total").over(every.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.sum("_total").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
     )
-    piece = F.size(F.filter(F.array_distinct(cuts.scalar()), lambda cut: cut < F.col(value)))
-    counted = present.groupBy(value).agg(F.count(F.lit(1)).alias("n")).withColumn("_piece", piece)
-    totals = counted.groupBy("_piece").agg(F.sum("n").alias("_total"))
-    before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_piece", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
     running = F.sum("n").over(Window.partitionBy("_piece").orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
     return (
-        counted.withColumn("_running", running)
+        cut.withColumn("_running", running)
         .join(F.broadcast(offsets), "_piece")
-        .select(value, "n", (F.col("_before") + F.col("_running")).alias("upto"))
+        .select(value, "n", (F.col("_before") + F.col("_running")).alias("upto"), "total")
     )
 
 
@@ -51,13 +56,15 @@ def spread_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def percentile_score(df: DataFrame, value: str, out: str, higher_is_better: bool, neutral: float) -> DataFrame:
-    """0-100 share of non-null values <= the row's value (or >= it); null scores ``neutral``."""
-    ranks = cumulative_counts(df, value)
-    total = df.agg(F.count(value)).scalar()
-    share = F.col("upto") if higher_is_better else total - F.col("upto") + F.col("n")
-    table = ranks.select(value, (share / total * 100.0).alias(out))
+    """0-100 share of non-null values <= the row's value (or >= it); null scores ``neutral``.
+
+    Reads ``df`` twice: give it a stored or materialised frame.
+    """
+    share = F.col("upto") if higher_is_better else F.col("total") - F.col("upto") + F.col("n")
+    table = cumulative_counts(df, value).select(value, (share / F.col("total") * 100.0).alias(out))
     joined = spread_left_join(df, table, value)
-    return joined.withColumn(out, F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(100.0), out)), F.lit(neutral)))
+    # The share lies in (0, 100] by construction.
+    return joined.withColumn(out, F.coalesce(out, F.lit(neutral)))
 
 
 def median_by(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:

@@ -8,11 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..session import materialize
 from .ranking import median_by, percentile_score
 
 
 def add_liquidity(df: DataFrame) -> DataFrame:
-    """Mutations relative to the busiest territory and median price relative to the frame's median."""
+    """Mutations relative to the busiest territory and median price relative to the frame's median.
+
+    The frame is read several times, so it is written to the shared folder once.
+    """
+    df = materialize(df, "liquidity-frame")
     busiest = df.agg(F.max("mutation_count")).scalar()
     middle = median_by(df, [], "price_m2_median", "m").scalar()
     index = F.bround(F.col("mutation_count") / busiest * 100.0, 1)
@@ -52,6 +57,7 @@ def where_to_live(df: DataFrame, metrics: DataFrame | None = None, weights: Mapp
     out = df
     if metrics is not None:
         out = join_metrics(out, metrics, [c for c in metrics.columns if c != "insee_code"])
+    out = materialize(out, "where-to-live-frame")
     out = _score_or_neutral(out, "price_m2_avg", "score_prix", higher_is_better=False)
     out = _score_or_neutral(out, "population", "score_dynamisme", higher_is_better=True)
     out = _score_or_neutral(out, "mutation_count", "score_marche", higher_is_better=True)
@@ -72,6 +78,7 @@ def where_to_live(df: DataFrame, metrics: DataFrame | None = None, weights: Mapp
 def quiet_family(df: DataFrame, metrics: DataFrame | None = None) -> DataFrame:
     """Calm reviews, quiet market and affordable price."""
     out = df.withColumn("calm_hits", F.lit(0)) if metrics is None else join_metrics(df, metrics, ["calm_hits", "sentiment_avg"])
+    out = materialize(out, "quiet-family-frame")
     out = out.withColumn("score_calme_nlp", F.least(F.lit(100.0), F.col("calm_hits") * K.CALM_HIT_POINTS))
     out = _score_or_neutral(out, "mutation_count", "score_marche_discret", higher_is_better=False)
     out = _score_or_neutral(out, "price_m2_avg", "score_prix_maison", higher_is_better=False)

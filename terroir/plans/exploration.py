@@ -22,6 +22,7 @@ def exploration_frame(
     indicator: str,
     prefixes: str = "",
     region_rule: str = "lookup",
+    cities: dict[str, str] | None = None,
 ) -> DataFrame:
     """Prices (or their rollup) with population, liquidity and sentiment, where the indicator is known."""
     sliced = prices.where((F.col("year") == year) & (F.col("property_type") == property_type))
@@ -37,7 +38,7 @@ def exploration_frame(
     if level == "department" and "mutation_count" in frame.columns:
         frame = S.add_liquidity(frame)
     if docs is not None:
-        table = R.latest_sentiment_table(docs)
+        table = R.latest_sentiment_table(docs, cities)
         if level == "city":
             side = table.select(F.col("insee_code_city").alias("insee_code"), "sentiment_avg", "city_name")
             frame = frame.join(side, "insee_code", "left")

@@ -223,4 +223,4 @@ def dedupe(events: DataFrame, keys: Sequence[str], time: str | None = None, dela
     """Drop events whose keys were seen before; a watermark bounds what has to be remembered."""
     if time is None or delay is None:
         return events.dropDuplicates(list(keys))
-    return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+    return events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,14 +26,22 @@ def blank_to_null(text: Column) -> Column:
     return F.when(trimmed != "", trimmed)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def city_from_address(address: Column) -> Column:
     """City named in the part after the last comma, else that part in lower case."""
-    tail = F.when(address.contains(","), strip(F.element_at(F.split(address, ","), -1))).otherwise(address)
-    low = F.lower(tail)
-    out = low
-    for keyword, city in reversed(K.CITY_KEYWORDS):
-        out = F.when(F.contains(low, F.lit(keyword)), F.lit(city)).otherwise(out)
-    return out
+
+    def named(tail: Column) -> Column:
+        out = tail
+        for keyword, city in reversed(K.CITY_KEYWORDS):
+            out = F.when(F.contains(tail, F.lit(keyword)), F.lit(city)).otherwise(out)
+        return out
+
+    last = F.regexp_extract(address, "[^,]*$", 0)
+    return let(F.lower(F.when(address.contains(","), strip(last)).otherwise(address)), named)
 
 
 def canonical_source(raw: Column) -> Column:

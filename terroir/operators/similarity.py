@@ -5,6 +5,9 @@
 with the base listing's price and surface in the denominators. Pairs of a city
 are never all formed, because one city may hold a third of the table:
 
+The spots are written to the shared folder once (a job of its own), so the
+operator starts work when it is called; its result is lazy.
+
 1. Listings that agree in city, price, surface and place form one *spot* that
    keeps only its ``k + 1`` smallest ids - no other copy can be in a top ``k``.
 2. Spots are range-partitioned along a space-filling curve inside their city, so
@@ -34,6 +37,7 @@ from pyspark.sql import types as T
 from ..functions import constants as K
 from ..functions.listing import city_from_address
 from ..functions.numbers import distance_km
+from ..session import materialize
 
 LEVELS = 12  # finest grid cells are max_score / 2**LEVELS wide
 CURVE_BITS = 12  # per dimension
@@ -56,14 +60,14 @@ def score_expr(a: str, b: str) -> Column:
 
 
 def _points(listings: DataFrame) -> DataFrame:
-    city = F.col("city") if "city" in listings.columns else city_from_address(F.col("address"))
-    doubles = [F.col(c).cast("double").alias(c) for c in _SPOT[1:]]
+    # A city is null only where its address is; testing the stored column keeps the filter cheap and pushable.
+    stored = "city" if "city" in listings.columns else "address"
+    city = F.col("city") if stored == "city" else city_from_address(F.col("address"))
+    known = listings.where(F.col(stored).isNotNull() & F.col("price").isNotNull() & F.col("surface").isNotNull())
     blind = F.col("lat").isNull() | F.col("lon").isNull()
-    place = [F.when(~blind, F.col(c) + F.lit(0.0)).alias(c) for c in ("lat", "lon")]
-    return (
-        listings.select("id", city.alias("city"), *doubles)
-        .select("id", "city", "price", "surface", *place)
-        .where(F.col("city").isNotNull() & F.col("price").isNotNull() & F.col("surface").isNotNull())
+    return known.select(
+        "id", city.alias("city"), F.col("price").cast("double").alias("price"), F.col("surface").cast("double").alias("surface"),
+        *[F.when(~blind, F.col(c).cast("double") + F.lit(0.0)).alias(c) for c in ("lat", "lon")],
     )
 
 
@@ -97,17 +101,20 @@ def _positions(price: Column, surface: Column, lat: Column, lon: Column) -> tupl
     )
 
 
-def _curve(max_score: float) -> Column:
-    """Interleaved bits of the four axis positions (only locality matters, not range)."""
+_AXES = ("_x0", "_x1", "_x2", "_x3")
+
+
+def _with_curve(spots: DataFrame, max_score: float) -> DataFrame:
+    """Add ``_curve``: the interleaved bits of the four axis positions (only locality matters, not range)."""
     width = max_score / 2**6
     axes = _positions(F.col("price"), F.col("surface"), F.col("lat"), F.col("lon"))
-    cells = [F.floor(x / width).cast("bigint").bitwiseAND(F.lit(2**CURVE_BITS - 1)) for x in axes]
+    mask = F.lit(2**CURVE_BITS - 1)
+    cells = {name: F.floor(x / width).cast("bigint").bitwiseAND(mask) for name, x in zip(_AXES, axes)}
     bits = [
-        F.shiftleft(F.shiftright(cell, bit).bitwiseAND(F.lit(1)).cast("bigint"), 4 * bit + axis)
-        for bit in range(CURVE_BITS)
-        for axis, cell in enumerate(cells)
+        f"shiftleft(shiftright({name}, {bit}) & 1L, {4 * bit + axis})"
+        for bit in range(CURVE_BITS) for axis, name in enumerate(_AXES)
     ]
-    return reduce(lambda x, y: x.bitwiseOR(y), bits)
+    return spots.withColumns(cells).withColumn("_curve", F.expr(" | ".join(bits))).drop(*_AXES)
 
 
 def _radius_along_curve(keep: int, max_score: float):
@@ -143,29 +150,35 @@ def _radius_along_curve(keep: int, max_score: float):
 
 
 def _with_radius(spots: DataFrame, keep: int, max_score: float) -> DataFrame:
-    ordered = spots.withColumn("_curve", _curve(max_score)).repartitionByRange("city", "_curve", "price", "surface")
+    ordered = _with_curve(spots, max_score).repartitionByRange("city", "_curve", "price", "surface")
     ordered = ordered.sortWithinPartitions("city", "_curve").drop("_curve")
     schema = T.StructType([*ordered.schema.fields, T.StructField("radius", T.DoubleType())])
     return ordered.mapInPandas(_radius_along_curve(keep, max_score), schema)
 
 
-def _plane(lat: Column) -> Column:
-    return F.when(lat.isNull(), "blind").otherwise("placed")
+def _reach(radius: Column) -> Column:
+    return radius * (1 + _SLACK) + _SLACK
+
 
+def _level(radius: Column, max_score: float) -> Column:
+    """The grid level whose cells are between one and two radii wide."""
+    level = F.floor(F.log2(F.lit(max_score) / _reach(radius))).cast("int")
+    return F.greatest(F.lit(0), F.least(F.lit(LEVELS), level))
 
-def _probes(bases: DataFrame, max_score: float) -> DataFrame:
+
+def _probes(bases: DataFrame, max_score: float, any_blind: bool) -> DataFrame:
     """The grid cells each base has to look into: (city, plane, level, cell) rows."""
-    r = F.col("radius") * (1 + _SLACK) + _SLACK
-    b = bases.withColumn("_r", r)
-    level = F.floor(F.log2(F.lit(max_score) / F.col("_r"))).cast("int")
-    b = b.withColumn("level", F.greatest(F.lit(0), F.least(F.lit(LEVELS), level)))
+    b = bases.withColumn("_r", _reach(F.col("radius"))).withColumn("level", _level(F.col("radius"), max_score))
     b = b.withColumn("_w", F.lit(max_score) / F.pow(F.lit(2.0), F.col("level")))
-    # A base without coordinates is at distance 0 from everything, so it looks at
-    # the whole price x surface plane; a placed base also looks at the blind spots.
-    planes = F.when(F.col("lat").isNull(), F.array(F.lit("blind"), F.lit("flat"))).otherwise(
-        F.array(F.lit("placed"), F.lit("blind"))
-    )
-    b = b.withColumn("plane", F.explode(planes))
+    if any_blind:
+        # A base without coordinates is at distance 0 from everything, so it looks at
+        # the whole price x surface plane; a placed base also looks at the blind spots.
+        planes = F.when(F.col("lat").isNull(), F.array(F.lit("blind"), F.lit("flat"))).otherwise(
+            F.array(F.lit("placed"), F.lit("blind"))
+        )
+        b = b.withColumn("plane", F.explode(planes))
+    else:
+        b = b.withColumn("plane", F.lit("placed"))
 
     def span(low: Column, high: Column) -> Column:
         slack = F.col("_w") * 1e-6
@@ -201,14 +214,15 @@ def _probes(bases: DataFrame, max_score: float) -> DataFrame:
     return b.where(far <= F.col("_r") * (1 + 1e-6) + 1e-6).select(*_SPOT, "radius", "plane", "level", *_CELL)
 
 
-def _index(spots: DataFrame, max_score: float) -> DataFrame:
-    """Every spot under its cell at every level, in the planes where it is looked for."""
-    blind_cities = spots.where(F.col("lat").isNull()).select("city").distinct()
-    planed = spots.withColumn("plane", _plane(F.col("lat")))
-    # Only cities with coordinate-less bases need the flat copy of the placed spots.
-    flat = planed.where(F.col("plane") == "placed").join(blind_cities, "city", "left_semi")
-    planed = planed.unionByName(flat.withColumn("plane", F.lit("flat")))
-    leveled = planed.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))))
+def _index(spots: DataFrame, max_score: float, levels: list[int], any_blind: bool) -> DataFrame:
+    """Every spot under its cell at the levels in use, in the planes where it is looked for."""
+    planed = spots.withColumn("plane", F.when(F.col("lat").isNull(), "blind").otherwise("placed"))
+    if any_blind:
+        # Only cities with coordinate-less bases need the flat copy of the placed spots.
+        blind_cities = spots.where(F.col("lat").isNull()).select("city").distinct()
+        flat = planed.where(F.col("plane") == "placed").join(blind_cities, "city", "left_semi")
+        planed = planed.unionByName(flat.withColumn("plane", F.lit("flat")))
+    leveled = planed.withColumn("level", F.explode(F.array(*[F.lit(n) for n in levels])))
     width = F.lit(max_score) / F.pow(F.lit(2.0), F.col("level"))
     axes = _positions(F.col("price"), F.col("surface"), F.col("lat"), F.col("lon"))
     placed = F.col("plane") == "placed"
@@ -234,13 +248,17 @@ def topk_similar(
     keep = k + 1
     points = _points(listings)
     asked = points if bases is None else points.join(bases.select("id"), "id", "left_semi")
-    spots = _spots(points, keep)
-    searched = _with_radius(spots, keep, max_score)
+    # Both sides of the search read the spots: they are written once, not computed twice.
+    spots = materialize(_with_radius(_spots(points, keep), keep, max_score), "similar-spots")
+    used = spots.select(_level(F.col("radius"), max_score).alias("level"), F.col("lat").isNull().alias("blind"))
+    used = used.distinct().collect()  # at most 2 * (LEVELS + 1) rows
+    levels, any_blind = sorted({u.level for u in used}), any(u.blind for u in used)
+    searched = spots
     if bases is not None:
         wanted = asked.select(*_SPOT).distinct()
         searched = searched.alias("s").join(wanted.alias("w"), _same_spot("s", "w"), "left_semi")
-    probes = _probes(searched, max_score).alias("a")
-    index = _index(spots, max_score).alias("b")
+    probes = _probes(searched, max_score, any_blind).alias("a")
+    index = _index(spots, max_score, levels or [0], any_blind).alias("b")
     keys = ("city", "plane", "level", *_CELL)
     on = reduce(lambda x, y: x & y, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in keys])
     found = probes.join(index, on).select(

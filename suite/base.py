@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terroir.functions import constants as K
+from terroir.session import materialize
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -173,8 +174,15 @@ def with_views(sql: str) -> str:
     return f"WITH {ctes} {text}"
 
 
+# Tables with long texts: their work is in the rows, so a table stored in fewer
+# pieces than there are cores is spread first. Larger tables are left as they are.
+_TEXT_TABLES = ("documents", "pages")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if name in _TEXT_TABLES and df.rdd.getNumPartitions() < cores else df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -186,6 +194,11 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(sql)
 
 
+def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A view written to the shared folder first, for operators that read a fact table more than once."""
+    return materialize(view(spark, sf_dir, name), name)
+
+
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw listings with their photo as a list, in the declared schema."""
     from terroir.operators.listings import complete_raw

@@ -8,9 +8,8 @@ from terroir.operators import reviews as R
 from terroir.operators import scoring as S
 from terroir.operators.ranking import percentile_score
 from terroir.plans.exploration import exploration_frame
-from terroir.session import materialize
 
-from .base import case, near, near_sql, view
+from .base import case, near, near_sql, stored, view
 from .reviews import CALM, DOCS, HITS, documents, latest_table
 from .territory import stored_facts
 
@@ -36,7 +35,7 @@ def _share(value: str, higher: bool) -> str:
 @case("percentile_score", f"""SELECT insee_code, year, property_type, {near_sql(_share('mutation_count', True), 6)} AS busy,
  {near_sql(_share('price_m2_avg', False), 6)} AS cheap FROM prices""")
 def _(spark, sf):
-    df = materialize(view(spark, sf, "prices"), "prices")
+    df = stored(spark, sf, "prices")
     df = percentile_score(df, "mutation_count", "busy", True, 50.0)
     df = percentile_score(df, "price_m2_avg", "cheap", False, 50.0)
     return df.select("insee_code", "year", "property_type", near("busy", 6).alias("busy"), near("cheap", 6).alias("cheap"))

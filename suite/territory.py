@@ -9,7 +9,7 @@ from terroir.functions.numbers import weighted_avg
 from terroir.operators import keyed
 from terroir.operators import territory as T
 
-from .base import case, near, near_sql, region_case, table, view
+from .base import case, near, near_sql, region_case, stored, table, view
 
 FACTS = "SELECT year, level, insee_code, property_type, price_m2_avg, price_m2_median, mutation_count"
 
@@ -233,7 +233,7 @@ def _unweighted(level: str, code: str, source: str = "prices") -> str:
 
 @case("rollup_prices_unweighted", f"{_unweighted('department', 'substr(insee_code, 1, 2)')} UNION ALL {_unweighted('region', _PARENT_REGION)}")
 def _(spark, sf):
-    prices = view(spark, sf, "prices")
+    prices = stored(spark, sf, "prices")
     both = T.rollup_prices_unweighted(prices, "department").unionByName(T.rollup_prices_unweighted(prices, "region"))
     return _rounded(both)
 
@@ -243,7 +243,7 @@ _DIGIT = "CASE WHEN substr(insee_code, 1, 1) = '0' THEN substr(insee_code, 2, 1)
 
 @case("rollup_prices_by_digit", _unweighted("region", _DIGIT))
 def _(spark, sf):
-    return _rounded(T.rollup_prices_unweighted(view(spark, sf, "prices"), "region", region_rule="digit"))
+    return _rounded(T.rollup_prices_unweighted(stored(spark, sf, "prices"), "region", region_rule="digit"))
 
 
 @case("rollup_demographics", """SELECT year, 'department' AS level, substr(insee_code, 1, 2) AS insee_code, sum(population) AS population,
@@ -295,7 +295,7 @@ _STORED = f"""stored AS ({FACTS} FROM prices UNION ALL SELECT year, 'department'
 
 
 def stored_facts(spark, sf):
-    prices = view(spark, sf, "prices")
+    prices = stored(spark, sf, "prices")
     parents = prices.where("year % 2 = 0").groupBy("year", F.substring("insee_code", 1, 2).alias("insee_code"), "property_type").agg(
         F.max("price_m2_avg").alias("price_m2_avg"), F.max("price_m2_median").alias("price_m2_median"),
         F.sum("mutation_count").alias("mutation_count"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import constants as K
 from .codes import department_from_insee
 from .numbers import jitter, rolling_hash
-from .text import contains_any, fold_accents
+from .text import contains_any, fold_accents, let
 
 
 # The white space a web client trims.
@@ -26,11 +26,6 @@ def blank_to_null(text: Column) -> Column:
     return F.when(trimmed != "", trimmed)
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def city_from_address(address: Column) -> Column:
     """City named in the part after the last comma, else that part in lower case."""
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -25,6 +25,11 @@ def _accent_pairs() -> tuple[str, str]:
     return "".join(accented), "".join(base)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def strip_accents(text: Column) -> Column:
     accented, base = _accent_pairs()
     return F.regexp_replace(F.translate(text, accented, base), r"\p{M}+", "")
@@ -46,15 +51,21 @@ def tokenize_fr(text: Column, fold: bool = False) -> Column:
     return F.filter(tokens, lambda w: ~w.isin(*K.STOPWORDS))
 
 
-def sentiment_from_tokens(tokens: Column) -> Column:
-    """(positive - negative) / (positive + negative), 0 when no lexicon word occurs."""
-    pos = F.size(F.filter(tokens, lambda w: w.isin(*K.POSITIVE_WORDS)))
-    neg = F.size(F.filter(tokens, lambda w: w.isin(*K.NEGATIVE_WORDS)))
-    return F.when(tokens.isNotNull() & (pos + neg > 0), (pos - neg) / (pos + neg)).otherwise(F.lit(0.0))
+def sentiment_light(text: Column, fold: bool = False) -> Column:
+    """(positive - negative) / (positive + negative) lexicon words, 0 when none occurs.
+
+    Words are cut once, and only the few that are in the lexicon are kept for
+    counting (no lexicon word is a stop word).
+    """
+    lowered = F.lower(text)
+    words = F.regexp_extract_all(strip_accents(lowered) if fold else lowered, F.lit(K.TOKEN_PATTERN), 0)
+    known = F.filter(words, lambda w: w.isin(*K.POSITIVE_WORDS, *K.NEGATIVE_WORDS))
 
+    def score(hits: Column) -> Column:
+        positive = F.size(F.filter(hits, lambda w: w.isin(*K.POSITIVE_WORDS)))
+        return F.when(F.size(hits) > 0, (positive * 2 - F.size(hits)) / F.size(hits))
 
-def sentiment_light(text: Column, fold: bool = False) -> Column:
-    return sentiment_from_tokens(tokenize_fr(text, fold))
+    return F.coalesce(let(known, score), F.lit(0.0))
 
 
 def label_score(label: Column, score: Column) -> Column:

@@ -71,9 +71,15 @@ def normalize_listings(
 
 
 def split_rejects(normalized: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid listings, rejected rows with their reason)."""
-    valid = normalized.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    return valid, normalized.where(F.col("reject_reason").isNotNull())
+    """(valid listings, rejected rows with their reason).
+
+    The filter also names the task number: a filter on computed columns alone
+    would be pushed below the normalisation and repeat its geocoding in the condition.
+    """
+    staged = normalized.withColumn("_task", F.spark_partition_id())
+    computed = F.col("_task") >= 0
+    valid = staged.where(computed & F.col("reject_reason").isNull()).drop("reject_reason", "_task")
+    return valid, staged.where(computed & F.col("reject_reason").isNotNull()).drop("_task")
 
 
 def _alias(df: DataFrame, names: Sequence[str]) -> Column:

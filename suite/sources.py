@@ -31,9 +31,8 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "listing-arrays")
     listings = view(spark, sf, "listings").withColumn("tags", F.array(F.lit("a"), F.lit("b")))
-    # Documents with one JSON array each: one array per listing source and digit of the id.
-    bucket = [F.col("source"), F.substring("id", -2, 2)]
-    docs = listings.groupBy(*bucket).agg(F.to_json(F.collect_list(F.struct(*listings.columns))).alias("value"))
+    # Documents with one JSON array each: at most a hundred neighbouring ids per array.
+    docs = listings.groupBy(F.substring("id", 1, 8).alias("bucket")).agg(F.to_json(F.collect_list(F.struct(*listings.columns))).alias("value"))
     docs.select("value").write.option("maxRecordsPerFile", 1).text(path)
     df = files.read_json_listings(spark, path)
     return df.select("id", "title", "price", "rooms", "lat", F.concat_ws(",", "tags").alias("tags"))

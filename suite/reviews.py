@@ -65,20 +65,25 @@ def _(spark, sf):
     return table(spark, sf, "labels").select("doc_id", T.label_score(label, F.col("doc_id") % 100 / 100).alias("score"))
 
 
-def _common_score(texts: list[str]) -> list[float]:
-    out = []
-    for text in texts:
-        words = text.lower().split(" ")
-        pos = sum(w in _COMMON_POS for w in words)
-        neg = sum(w in _COMMON_NEG for w in words)
-        out.append((pos - neg) / (pos + neg) if pos + neg else 0.0)
-    return out
+def _common_scorer():
+    positive, negative = _COMMON_POS, _COMMON_NEG
+
+    def score(texts: list[str]) -> list[float]:
+        out = []
+        for text in texts:
+            words = text.lower().split(" ")
+            pos = sum(w in positive for w in words)
+            neg = sum(w in negative for w in words)
+            out.append((pos - neg) / (pos + neg) if pos + neg else 0.0)
+        return out
+
+    return score
 
 
 @case("score_fn_hook", f"""SELECT doc_id, round({_score_sql(_COMMON_POS, _COMMON_NEG)}, 6) AS score FROM
  (SELECT doc_id, string_split(lower(review_text), ' ') AS tokens FROM reviews)""")
 def _(spark, sf):
-    df = R.with_score(view(spark, sf, "reviews"), score=R.scorer(_common_score, batch_size=64))
+    df = R.with_score(view(spark, sf, "reviews"), score=R.scorer(_common_scorer(), batch_size=64))
     return df.select("doc_id", F.round("score", 6).alias("score"))
 
 

@@ -119,6 +119,9 @@ def _with_curve(spots: DataFrame, max_score: float) -> DataFrame:
 
 def _radius_along_curve(keep: int, max_score: float):
     """Upper bound of the ``keep``-th smallest score, from the neighbours in curve order."""
+    # Plain values, so that a worker needs numpy and pandas but not this package.
+    reach, price_weight, km_weight = CURVE_REACH, K.SIMILAR_PRICE_WEIGHT, K.SIMILAR_KM_WEIGHT
+    per_lat, per_lon = K.KM_PER_LAT, K.KM_PER_LON
 
     def bound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -127,20 +130,20 @@ def _radius_along_curve(keep: int, max_score: float):
             price, surface = pdf["price"].to_numpy(float), pdf["surface"].to_numpy(float)
             lat, lon = pdf["lat"].to_numpy(float), pdf["lon"].to_numpy(float)
             p_base, s_base = np.maximum(price, 1.0), np.maximum(surface, 1.0)
-            scores = np.full((2 * CURVE_REACH + 1, n), np.inf)
-            for row, step in enumerate(range(-CURVE_REACH, CURVE_REACH + 1)):
+            scores = np.full((2 * reach + 1, n), np.inf)
+            for row, step in enumerate(range(-reach, reach + 1)):
                 lo, hi = max(0, -step), min(n, n - step)
                 if lo >= hi:
                     continue
                 a, b = slice(lo, hi), slice(lo + step, hi + step)
-                km = np.sqrt(((lat[b] - lat[a]) * K.KM_PER_LAT) ** 2 + ((lon[b] - lon[a]) * K.KM_PER_LON) ** 2)
+                km = np.sqrt(((lat[b] - lat[a]) * per_lat) ** 2 + ((lon[b] - lon[a]) * per_lon) ** 2)
                 s = (
-                    np.abs(price[b] - price[a]) / p_base[a] * K.SIMILAR_PRICE_WEIGHT
+                    np.abs(price[b] - price[a]) / p_base[a] * price_weight
                     + np.abs(surface[b] - surface[a]) / s_base[a]
-                    + np.nan_to_num(km, nan=0.0) * K.SIMILAR_KM_WEIGHT
+                    + np.nan_to_num(km, nan=0.0) * km_weight
                 )
                 scores[row, a] = np.where(city[a] == city[b], s, np.inf)
-            if 2 * CURVE_REACH + 1 > keep:
+            if 2 * reach + 1 > keep:
                 radius = np.partition(scores, keep - 1, axis=0)[keep - 1]
             else:
                 radius = np.full(n, np.inf)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 # Named entities.
 ENTITIES = {
     "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "euro": "€",
@@ -145,19 +147,32 @@ def remove_dot_segments(path: Column) -> Column:
     return F.when(path.rlike(r"/\.{1,2}(/|$)"), clean).otherwise(path)
 
 
+def url_parts(url: Column) -> Column:
+    """What links of a page are resolved against; compute it once per page."""
+    path = url_path(url)
+    return F.struct(
+        F.regexp_extract(url, _ORIGIN, 1).alias("scheme"), url_origin(url).alias("origin"), path.alias("path"),
+        F.regexp_replace(path, "[^/]*$", "").alias("folder"), url_query(url).alias("query"),
+    )
+
+
 def resolve_url(base: Column, href: Column) -> Column:
-    """Absolute url of a link found on the page ``base``, without fragment; null when not http(s)."""
+    """Absolute url of a link on the page with the parts ``base``, without fragment; null when not http(s)."""
+
+    def against_base(link: Column) -> Column:
+        return (
+            F.when(link.rlike(r"^(?i)https?://"), link)
+            .when(link.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), F.lit(None).cast("string"))
+            .when(link.startswith("//"), F.concat(base["scheme"], link))
+            .when(link.startswith("/"), F.concat(base["origin"], link))
+            .when(link.startswith("?"), F.concat(base["origin"], base["path"], link))
+            .when(link == "", F.concat(base["origin"], base["path"], base["query"]))
+            .otherwise(F.concat(base["origin"], base["folder"], link))
+        )
+
+    def cleaned(url: Column) -> Column:
+        path = let(remove_dot_segments(url_path(url)), escape_path)
+        return F.concat(url_origin(url), path, let(url_query(url), escape_query))
+
     link = F.regexp_replace(F.trim(href), "[\t\n\r]", "")
-    folder = F.regexp_replace(url_path(base), "[^/]*$", "")
-    has_scheme = link.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:")
-    absolute = (
-        F.when(link.rlike(r"^(?i)https?://"), link)
-        .when(has_scheme, F.lit(None).cast("string"))
-        .when(link.startswith("//"), F.concat(F.regexp_extract(base, _ORIGIN, 1), link))
-        .when(link.startswith("/"), F.concat(url_origin(base), link))
-        .when(link.startswith("?"), F.concat(url_origin(base), url_path(base), link))
-        .when(link == "", F.concat(url_origin(base), url_path(base), url_query(base)))
-        .otherwise(F.concat(url_origin(base), folder, link))
-    )
-    path = escape_path(remove_dot_segments(url_path(absolute)))
-    return F.concat(url_origin(absolute), path, escape_query(url_query(absolute)))
+    return let(let(link, against_base), cleaned)

@@ -28,23 +28,25 @@ def discover_links(
     inside the page's row: the duplicates of a page meet in one array, not in a shuffle.
     """
     limit = min(per_page, K.LINKS_PER_PAGE_MAX) if per_page > 0 else K.LINKS_PER_PAGE
-    page_host = H.url_host(F.col("url"))
-    site = F.regexp_replace(page_host, r"^www\.", "")
+    page_host = F.col("_host")
     wanted = F.lit(None).cast("string")
     for name, regexes in reversed(list(patterns.items())):
         wanted = F.when(F.contains(page_host, F.lit(name)), F.lit("(?i)" + "|".join(regexes))).otherwise(wanted)
-    base = pages.withColumn("_wanted", wanted).where(F.col("_wanted").isNotNull())
+    base = pages.withColumn("_host", H.url_host(F.col("url")))
+    base = base.withColumns({
+        "_wanted": wanted, "_site": F.regexp_replace(page_host, r"^www\.", ""), "_base": H.url_parts(F.col("url")),
+    }).where(F.col("_wanted").isNotNull())
 
     def keep(link: Column) -> Column:
         host = H.url_host(link)
-        same_site = (host == page_host) | host.endswith(site)
+        same_site = (host == page_host) | host.endswith(F.col("_site"))
         return link.isNotNull() & same_site & F.regexp_like(H.url_path(link), F.col("_wanted"))
 
     hrefs = F.filter(
         H.link_targets(F.col("html")),
         lambda h: (h != "") & ~h.startswith("#") & ~h.startswith("javascript:"),
     )
-    links = F.filter(F.transform(hrefs, lambda h: H.resolve_url(F.col("url"), h)), keep)
+    links = F.filter(F.transform(hrefs, lambda h: H.resolve_url(F.col("_base"), h)), keep)
     kept = F.slice(F.array_distinct(links), 1, limit)
     columns = [c for c in pages.columns if c != "html"]
     return base.select(*columns, F.posexplode(kept).alias("position", "listing_url"))

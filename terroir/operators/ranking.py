@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 10_000
@@ -127,9 +127,3 @@ def smallest_by_hash(df: DataFrame, id_col: str, n: int, seed: int) -> DataFrame
     rank = F.row_number().over(Window.partitionBy("_slice").orderBy("_h", id_col))
     cut = kept.where(partial).withColumn("_rank", rank).where(F.col("_rank") <= n - F.col("_before"))
     return whole.unionByName(cut.drop("_rank")).drop("_h", "_slice", "_c", "_before")
-
-
-def top_n(df: DataFrame, by: str, n: int, tie: str, columns: Sequence[Column] | None = None) -> DataFrame:
-    """First ``n`` rows by descending value; ties by ``tie``. Each task keeps only ``n`` rows."""
-    ordered = df.orderBy(F.col(by).desc_nulls_last(), F.col(tie)).limit(n)
-    return ordered.select(*columns) if columns else ordered

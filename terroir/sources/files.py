@@ -22,7 +22,8 @@ def sniff_delimiter(spark: SparkSession, path: str) -> str:
 
     Only the head of the file is looked at: a bounded number of lines, cut to the sample size.
     """
-    lines = [r.value for r in spark.read.text(path).limit(1000).collect()]
+    head = spark.read.text(path).select(F.substring("value", 1, SAMPLE_CHARS).alias("value")).limit(1000)
+    lines = [r.value for r in head.collect()]
     sample = "\n".join(lines)[:SAMPLE_CHARS]
     best = max(DELIMITERS, key=sample.count)
     return best if sample.count(best) else ","

@@ -6,10 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, lines, mixing, near_duplicates, packing
+from . import hosts, language, lines, mixing, near_duplicates, packing, quality
 from .common import WORD, table, word_count
 
 
+# The rules of the contract of op2, in its order.
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
+
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents")), "2025").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosts.judge(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -37,6 +50,8 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_url_filters": op2_url_filters,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_line_dedup": op4_line_dedup,
     "op5_packing": op5_packing,

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hosts, language, lines, mixing, near_duplicates, packing, quality
+from . import hosts, language, lines, mixing, near_duplicates, neighbours, packing, quality
 from .common import WORD, table, word_count
 
 
@@ -49,6 +49,10 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_url_filters": op2_url_filters,
@@ -57,6 +61,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op7_mixing": op7_mixing,
     "op9_language": op9_language,
+    "op10_neighbours": op10_neighbours,
 }
 
 _WORDS = f"len(regexp_extract_all(coalesce(text, ''), '{WORD}'))"

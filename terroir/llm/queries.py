@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hosts, language, lines, mixing, near_duplicates, neighbours, packing, quality
+from . import hosts, language, lines, mixing, near_duplicates, neighbours, packing, quality, quotes
 from .common import WORD, table, word_count
 
 
@@ -42,6 +42,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.fair_queues(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_order(table(spark, sf_dir, "conversations"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(language.learnable(docs))
@@ -60,6 +64,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_packing": op5_packing,
     "op7_mixing": op7_mixing,
+    "op8_quotation_linking": op8_quotation_linking,
     "op9_language": op9_language,
     "op10_neighbours": op10_neighbours,
 }

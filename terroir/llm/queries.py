@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hosts, language, lines, mixing, near_duplicates, neighbours, packing, quality, quotes
+from . import hosts, language, lines, mixing, near_duplicates, neighbours, packing, passages, quality, quotes
 from .common import WORD, table, word_count
 
 
@@ -37,6 +37,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_near_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.near_passages(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count("text").alias("size"))
     return mixing.fair_queues(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -63,6 +67,7 @@ QUERIES = {
     "op3_near_duplicates": op3_near_duplicates,
     "op4_line_dedup": op4_line_dedup,
     "op5_packing": op5_packing,
+    "op6_near_passages": op6_near_passages,
     "op7_mixing": op7_mixing,
     "op8_quotation_linking": op8_quotation_linking,
     "op9_language": op9_language,

@@ -7,8 +7,11 @@ smallest sum of squared counts of partially filled windows; an array of counts p
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -25,35 +28,86 @@ _TAIL = "#*$%&.,!?:;|<>-"  # ASCII signs the tokenizer always parts from a lette
 class TokenCache(dict):
     """Token ids (little-endian unsigned 32-bit bytes) of blank-free stretches of text.
 
-    The tokenizer starts anew after white space, so a text's ids are those of its stretches in order. At ``limit``
-    stretches the cache starts over.
+    The tokenizer starts anew after white space, so a text's ids are those of its stretches in order. Unknown words of
+    letters are encoded many at a time: each is one unit to the tokenizer, whose last token is one that ends words.
+    At ``limit`` stretches the cache starts over.
     """
 
     def __init__(self, tokenizer, limit: int = 1_000_000):
         super().__init__()
         self.tokenizer, self.limit = tokenizer, limit
+        names = tokenizer.get_vocab()
+        self.ends = np.zeros(max(names.values()) + 1, bool)
+        self.ends[[k for name, k in names.items() if name.endswith("</w>")]] = True
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        split = [_folded(t or "").replace("\n", " ").split(" ") for t in texts]
         if len(self) > self.limit:
             self.clear()
-        missing = {w for words in split for w in words}.difference(self)
-        parts = {w: self._parts(w) for w in missing}
-        new = list({p for pair in parts.values() for p in pair}.difference(self))
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+        self[""] = b""
+        known = [list(map(self.get, words)) for words in split]
+        gaps = [list(compress(range(len(parts)), map(not_, parts))) for parts in known]
+        missing: set[str] = set()
+        for words, at in zip(split, gaps, strict=True):
+            missing.update(map(words.__getitem__, at))
+        missing.discard("")
+        self._learn(missing)
+        for words, parts, at in zip(split, known, gaps, strict=True):
+            for k in at:
+                parts[k] = self[words[k]]
+        return [b"".join(parts) for parts in known]
+
+    def _learn(self, missing: set[str]) -> None:
+        bodies, others, tailed = [], set(), []
+        new: set[str] = set()
+        for word in missing:
+            body = word.rstrip(_TAIL)
+            if not _is_word(body):
+                others.add(word)
+            elif len(body) == len(word):
+                bodies.append(word)
+            else:
+                tailed.append(word)
+                if body not in self and body not in missing:
+                    new.add(body)
+                tail = word[len(body):]
+                if tail not in self:
+                    others.add(tail)
+        self._learn_words(bodies + list(new))
+        others = list(others)
+        for piece, found in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
             self[piece] = np.array(found.ids, "<u4").tobytes()
-        for word, pair in parts.items():
-            if word not in self:
-                self[word] = b"".join(map(self.__getitem__, pair))
-        return [b"".join(map(self.__getitem__, words)) for words in split]
-
-    @staticmethod
-    def _parts(word: str) -> tuple[str, ...]:
-        """The word, or its body and the signs at its end where the tokenizer parts them anyway."""
-        body = word.rstrip(_TAIL)
-        if body and body != word and body[-1].isalnum() and body.isalpha():
-            return body, word[len(body):]
-        return (word,)
+        for word in tailed:
+            body = word.rstrip(_TAIL)
+            self[word] = self[body] + self[word[len(body):]]
+
+    def _learn_words(self, words: list[str], together: int = 500) -> None:
+        groups = [words[k : k + together] for k in range(0, len(words), together)]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, "<u4")
+            cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(cuts) != len(group):
+                raise ValueError("the tokenizer does not end each word with an end token")
+            data, start = ids.tobytes(), 0
+            for word, end in zip(group, cuts.tolist(), strict=True):
+                self[word] = data[start:end]
+                start = end
+
+
+def _folded(text: str) -> str:
+    """Lower case where that surely is what the tokenizer does first: texts of Latin-1 letters, without special tokens."""
+    if "<|" in text:
+        return text
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
+def _is_word(body: str) -> bool:
+    """Letters only, and still so when normalised and lower-cased: one unit to the tokenizer."""
+    return body.isalpha() and (body.isascii() or unicodedata.normalize("NFC", body).lower().isalpha())
 
 
 class Packer:

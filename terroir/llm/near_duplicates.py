@@ -89,7 +89,8 @@ def compared(stars: DataFrame, docs: DataFrame, words: int, percent: int, id_col
     counts = stars.groupBy("a").agg(F.count("*").alias("members"))
     blocks = materialize(
         stars.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("members") / _BLOCK)).alias("block")), "near_pairs")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text__"))
+    # Pairs grow with the corpus, so the texts are joined by a shuffle at every size.
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text__")).hint("merge")
     pivots = blocks.select("a", "block").distinct().join(texts, F.col("a") == F.col("id")).select("a", "block", F.lit(False).alias("member"), "id", "text__")
     members = blocks.join(texts, F.col("b") == F.col("id")).select("a", "block", F.lit(True).alias("member"), "id", "text__")
     dealt = pivots.union(members).repartition("a", "block").sortWithinPartitions("a", "block", "member")
@@ -265,6 +266,6 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_
     dropped = found.where("NOT kept").select(F.col(id_col).alias("near_id__")).distinct()
     repeated = found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("near_id__")).agg(F.count("*").alias("n")).where("n > 1").select("near_id__")
     own = F.col(id_col) == F.col("near_id__")
-    once = docs.join(dropped.union(repeated).distinct(), own, "left_anti")
+    once = docs.join(dropped.union(repeated).distinct().hint("merge"), own, "left_anti")
     first = docs.join(repeated.join(dropped, "near_id__", "left_anti"), own, "left_semi").dropDuplicates([id_col])
     return once.union(first).select(*columns)

@@ -130,7 +130,7 @@ _ROWS = "CASE WHEN p_size % 4 = 0 THEN concat('1 ', CAST(100 + p_partkey % 900 A
   TRY_CAST(nullif(regexp_extract(replace(regexp_replace(coalesce({_ROWS}, CAST(p_retailprice AS STRING)), '[^0-9,.-]', '', 'g'), ',', '.'),
     '^[+-]?[0-9]+\\.?[0-9]*'), '') AS DOUBLE) AS price,
   CAST(p_size AS DOUBLE) AS surface, trim(p_name) AS title,
-  CASE WHEN contains(lower(p_name), 'small') THEN 'autre' ELSE 'autre' END AS type,
+  CASE p_size % 6 WHEN 0 THEN 'appartement' WHEN 1 THEN 'maison' WHEN 2 THEN 'studio' WHEN 3 THEN 'maison' WHEN 4 THEN 'autre' END AS type,
   CASE WHEN upper(trim(substr('abcXdefgH', CAST(1 + p_partkey % 9 AS INT), 1))) IN ('A', 'B', 'C', 'D', 'E', 'F', 'G')
        THEN upper(substr('abcXdefgH', CAST(1 + p_partkey % 9 AS INT), 1)) END AS dpe FROM part""")
 def _(spark, sf):
@@ -139,7 +139,9 @@ def _(spark, sf):
     df = table(spark, sf, "part")
     raw = df.select(
         "p_partkey", F.expr(_ROWS).alias("prix"), F.col("p_retailprice").alias("loyer"), F.col("p_size").alias("superficie"),
-        F.concat(F.lit(" "), "p_name", F.lit(" ")).alias("title"), F.col("p_name").alias("bien_type"),
+        F.concat(F.lit(" "), "p_name", F.lit(" ")).alias("title"),
+        F.expr("""CASE p_size % 6 WHEN 0 THEN concat('Bel APPARTEMENT ', p_name) WHEN 1 THEN 'maison de ville' WHEN 2 THEN 'Studio meublé'
+          WHEN 3 THEN 'Villa' WHEN 4 THEN p_name END""").alias("bien_type"),
         F.expr("concat(' ', substr('abcXdefgH', CAST(1 + p_partkey % 9 AS INT), 1))").alias("energyClassification"),
     )
     return L.normalize_raw_fields(raw, keep=["p_partkey"]).select("p_partkey", "price", "surface", "title", "type", "dpe")
@@ -231,26 +233,33 @@ def _(spark, sf):
 
 
 
-@case("upsert_listings", """SELECT id, url, price, seq FROM (
-  SELECT concat('u', CAST(user_id AS STRING)) AS id, CASE WHEN user_id % 2 = 0 THEN concat('https://x.example/', CAST(user_id AS STRING)) END AS url,
-   value AS price, event_id AS seq, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1""")
+# Writes with an id alone, a url alone, both, and an id that changes under one url: all of a user are one listing.
+_WRITES = """SELECT user_id, CASE event_id % 4 WHEN 1 THEN NULL WHEN 3 THEN concat('v', CAST(user_id AS STRING)) ELSE concat('u', CAST(user_id AS STRING)) END AS id,
+ CASE WHEN event_id % 4 > 0 THEN concat('https://x.example/', CAST(user_id AS STRING)) END AS url, value AS price, event_id AS seq FROM events
+ UNION ALL SELECT user_id, concat('u', CAST(user_id AS STRING)), concat('https://x.example/', CAST(user_id AS STRING)), 0e0, -1 FROM events WHERE event_id % 5 = 0"""
+
+
+@case("upsert_listings", f"""SELECT id, url, price, seq FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY seq DESC) AS rn FROM (
+ SELECT *, CASE WHEN linked OR url IS NOT NULL THEN concat('url', CAST(user_id AS STRING)) ELSE id END AS k FROM (
+  SELECT *, bool_or(url IS NOT NULL AND id = concat('u', CAST(user_id AS STRING))) OVER (PARTITION BY user_id) AS linked FROM ({_WRITES})))) WHERE rn = 1 AND seq >= 0""")
 def _(spark, sf):
     from .base import table
 
-    writes = table(spark, sf, "events").select(
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("id"),
-        F.when(F.col("user_id") % 2 == 0, F.concat(F.lit("https://x.example/"), F.col("user_id").cast("string"))).alias("url"),
-        F.col("value").alias("price"), F.col("event_id").alias("seq"),
-    )
-    return keyed.upsert_listings(writes, ["seq"])
+    table(spark, sf, "events").createOrReplaceTempView("events")
+    return keyed.upsert_listings(spark.sql(_WRITES).drop("user_id"), ["seq"]).where("seq >= 0")
 
 
-@case("insert_if_absent", "SELECT l.id, l.price FROM listings l WHERE l.id NOT IN (SELECT lpad(CAST(o_custkey AS STRING), 10, '0') FROM orders)")
+@case("insert_if_absent", """SELECT id, price, source FROM (SELECT id, price, source, row_number() OVER (PARTITION BY id ORDER BY price DESC) AS rn FROM (
+ SELECT id, price, source FROM listings UNION ALL SELECT id, price + 1, 'again' FROM listings WHERE rooms > 2))
+ WHERE rn = 1 AND id NOT IN (SELECT lpad(CAST(o_custkey AS STRING), 10, '0') FROM orders)""")
 def _(spark, sf):
     from .base import table
 
     taken = table(spark, sf, "orders").select(F.lpad(F.col("o_custkey").cast("string"), 10, "0").alias("id"))
-    return keyed.insert_if_absent(taken, view(spark, sf, "listings").select("id", "price"))
+    listings = view(spark, sf, "listings").select("id", "price", "source")
+    repeated = listings.join(view(spark, sf, "listings").where("rooms > 2").select("id"), "id", "left_semi")
+    new = listings.union(repeated.select("id", F.col("price") + 1, F.lit("again"))).withColumn("order", -F.col("price"))
+    return keyed.insert_if_absent(taken, new, order=["order"]).select("id", "price", "source")
 
 
 @case("latest_per_key", """SELECT insee_code, year, population FROM (
@@ -289,7 +298,12 @@ def _(spark, sf):
     return df.select("p_partkey", "surface", "price", "rooms", "type", "city", "postalCode")
 
 
-@case("amenity_flags_from_text", """WITH d AS (SELECT doc_id, lower(review_text) AS t FROM reviews)
+_DESCRIPTIONS = """concat(CASE p_partkey % 3 WHEN 0 THEN 'Sans ASCENSEUR, ' WHEN 1 THEN 'ascenseur ' ELSE '' END, CASE p_partkey % 4 WHEN 0 THEN 'Parking ' WHEN 1 THEN 'garage ' ELSE p_name END,
+ CASE WHEN p_partkey % 5 < 2 THEN ' Cave' ELSE ' ' END, CASE WHEN p_size % 2 = 0 THEN ' balcon' ELSE '' END, CASE WHEN p_size % 3 = 0 THEN ' Terrasse ' ELSE ' ' END,
+ CASE p_size % 5 WHEN 0 THEN 'non meublé' WHEN 1 THEN 'Meublé' ELSE '' END, CASE p_partkey % 7 WHEN 0 THEN ' au 3e étage' WHEN 1 THEN ' rez-de-chaussée' WHEN 2 THEN ' 12 étage' ELSE '' END)"""
+
+
+@case("amenity_flags_from_text", f"""WITH d AS (SELECT p_partkey AS doc_id, lower({_DESCRIPTIONS}) AS t FROM part)
  SELECT doc_id, CASE WHEN contains(t, 'sans ascenseur') THEN false WHEN contains(t, 'ascenseur') THEN true END AS elevator,
   CASE WHEN contains(t, 'parking') OR contains(t, 'garage') THEN true END AS parking,
   CASE WHEN contains(t, 'cave') THEN true END AS cellar, CASE WHEN contains(t, 'balcon') THEN true END AS balcony,
@@ -297,7 +311,9 @@ def _(spark, sf):
   CASE WHEN contains(t, 'non meublé') THEN false WHEN contains(t, 'meublé') THEN true END AS furnished,
   nullif(trim(regexp_extract(t, '\\b[0-9]+(?:er|ème|e)?\\s*étage\\b|rez[- ]de[- ]chaussée')), '') AS floor FROM d""")
 def _(spark, sf):
-    df = view(spark, sf, "reviews")
-    return df.select("doc_id", *[c.alias(n) for n, c in text.amenity_flags(F.col("review_text")).items()])
+    from .base import table
+
+    df = table(spark, sf, "part").select(F.col("p_partkey").alias("doc_id"), F.expr(_DESCRIPTIONS).alias("description"))
+    return df.select("doc_id", *[c.alias(n) for n, c in text.amenity_flags(F.col("description")).items()])
 
 

@@ -25,7 +25,7 @@ LINKS = f"""hosts AS (SELECT page_id, url, regexp_extract(url, '^([a-z]+://[^/?#
  links AS (SELECT page_id, url, listing_url, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS position FROM firsts)"""
 
 
-@case("discover_links", f"WITH {LINKS} SELECT page_id, url, CAST(position AS INT) AS position, listing_url FROM links WHERE position < 40")
+@case("discover_links", f"WITH {LINKS} SELECT page_id, url, CAST(position AS INT) AS position, listing_url FROM links")
 def _(spark, sf):
     return P.discover_links(table(spark, sf, "pages"), patterns=PATTERNS)
 
@@ -75,13 +75,51 @@ def _(spark, sf):
     return df.withColumn("photos", F.concat_ws(",", "photos")).select(*_COLUMNS)
 
 
-@case("page_extract_layers", r"""SELECT page_id, nullif(trim(replace(replace(replace(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1),
+@case("page_extract_layers", r"""SELECT CAST(p_partkey AS BIGINT) + 1000000000 AS page_id, nullif(CASE WHEN p_size % 5 = 3 THEN concat('Maison T', CAST(p_size % 9 AS STRING), ' ',
+  CAST(p_size AS STRING), ' m² 1 ', CAST(100 + p_partkey % 900 AS STRING), ' € Lyon (69001)') ELSE '' END, '') AS title,
+  p_size % 5 IN (0, 4) AS has_state, p_size % 5 = 2 AS has_jsonld FROM part UNION ALL SELECT page_id, nullif(trim(replace(replace(replace(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1),
   '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')), '') AS title, false AS has_state, false AS has_jsonld FROM pages""")
 def _(spark, sf):
-    layers = P.extract_layers(table(spark, sf, "pages"))
+    made = made_pages(spark, sf).select((F.col("p_partkey").cast("bigint") + 1000000000).alias("page_id"), "url", "html")
+    layers = P.extract_layers(table(spark, sf, "pages").unionByName(made))
     return layers.select(
         "page_id", F.col("og.title").alias("title"), F.col("state").isNotNull().alias("has_state"),
         F.coalesce(F.col("jsonld.title").isNotNull(), F.lit(False)).alias("has_jsonld"),
     )
 
 
+
+# Pages with several hundred links: one per part of its brand, in order, some twice.
+@case("discover_links_long_pages", """SELECT p_brand AS brand, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS INT) AS position,
+ concat('https://www.bienici.com/annonce/location/', CAST(p_partkey AS STRING)) AS listing_url FROM part""")
+def _(spark, sf):
+    anchor = F.concat(F.lit('<a href="/annonce/location/'), F.col("p_partkey").cast("string"), F.lit('">x</a>'))
+    pages = table(spark, sf, "part").groupBy(F.col("p_brand").alias("brand")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", F.repeat(anchor, 2).alias("a")))), lambda x: x["a"]), "").alias("html"))
+    links = P.discover_links(pages.withColumn("url", F.lit("https://www.bienici.com/recherche")))
+    return links.select("brand", F.col("position").cast("int").alias("position"), "listing_url")
+
+
+# The other site readers: a state with another ad before the listing, and a state held as a text inside a text.
+SITE_PAGES = """SELECT p_partkey, CASE p_size % 3 WHEN 2 THEN 'https://www.logic-immo.com/a' ELSE 'https://www.seloger.com/a' END AS url,
+ CASE p_size % 3
+  WHEN 0 THEN concat('<script id="__NEXT_DATA__">{"props":{"pageProps":{"others":[{"displayedPrice":"999","surface":1,"price":998}],"listingData":{"listing":{"title":"', p_name,
+    '","extra":{"displayedPrice":"', CAST(1000 + p_partkey AS STRING), ' &euro;"},"characteristics":{"rooms":3},"details":{"surface":10,"rooms":9},"surface":', CAST(p_size AS STRING),
+    ',"location":{"city":"Lyon"},"address":{"city":"Paris","zipCode":"75001"}}}}}}</script>')
+  WHEN 1 THEN concat('<script>window["SELOGER_DATA"] = {"props":{"pageProps":{"ad":{"publicationTitle":"', p_name, '","price":"', CAST(p_partkey AS STRING),
+    ',50","features":{"area":"', CAST(p_size AS STRING), '"},"perimeter":{"locality":"Lille"}}}}};</script>')
+  ELSE concat('<script id="__UFRN_LIFECYCLE_SERVERREQUEST__">window.x=JSON.parse("{', chr(92), '"app_cldp', chr(92), '":{', chr(92), '"data', chr(92), '":{', chr(92), '"classified', chr(92), '":{', chr(92), '"sections', chr(92), '":{',
+    chr(92), '"hardFacts', chr(92), '":{', chr(92), '"title', chr(92), '":', chr(92), '"Studio ', p_name, ' ', chr(92), chr(92), chr(92), chr(92), chr(92), '",', chr(92), '"price', chr(92), '":{', chr(92), '"ariaLabel', chr(92), '":', chr(92), '"1 ',
+    CAST(100 + p_partkey % 900 AS STRING), chr(92), '"}},', chr(92), '"energy', chr(92), '":{', chr(92), '"certificates', chr(92), '":[{', chr(92), '"scales', chr(92), '":[{', chr(92), '"name', chr(92), '":', chr(92), '"Performance GES', chr(92), '",',
+    chr(92), '"efficiencyClass', chr(92), '":{', chr(92), '"rating', chr(92), '":', chr(92), '"', substr('ABCDEFG', CAST(1 + p_partkey % 7 AS INT), 1), chr(92), '"}}]}]}}}}}}")</script>') END AS html FROM part"""
+
+
+@case("page_site_readers", """SELECT p_partkey, CASE p_size % 3 WHEN 2 THEN concat('Studio ', p_name, ' ', chr(92)) ELSE p_name END AS title,
+ CASE p_size % 3 WHEN 0 THEN 1000e0 + p_partkey WHEN 1 THEN p_partkey + 0.5e0 ELSE 1100e0 + p_partkey % 900 END AS price,
+ CASE p_size % 3 WHEN 2 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS surface, CASE p_size % 3 WHEN 0 THEN 3e0 END AS rooms,
+ CASE p_size % 3 WHEN 0 THEN 'Lyon' WHEN 1 THEN 'Lille' END AS city, CASE p_size % 3 WHEN 2 THEN 'studio' END AS type,
+ CASE p_size % 3 WHEN 2 THEN substr('ABCDEFG', CAST(1 + p_partkey % 7 AS INT), 1) END AS dpe, CAST(NULL AS VARCHAR) AS ges, CAST(NULL AS VARCHAR) AS postalCode FROM part""")
+def _(spark, sf):
+    table(spark, sf, "part").createOrReplaceTempView("part")
+    df = P.merge_first_non_null(P.extract_layers(spark.sql(SITE_PAGES.replace("chr(92)", "char(92)"))))
+    return df.select("p_partkey", "title", "price", "surface", "rooms", "city", "type", "dpe", "ges", "postalCode")

@@ -48,14 +48,19 @@ def _(spark, sf):
     return df.select("doc_id", F.size("t").cast("bigint").alias("n"), F.array_join("t", " ").alias("tokens"))
 
 
-@case("sentiment_light", f"SELECT doc_id, round({SCORE}, 6) AS score FROM (SELECT doc_id, {TOKENS} AS tokens FROM reviews)")
-def _(spark, sf):
-    return view(spark, sf, "reviews").select("doc_id", F.round(T.sentiment_light(F.col("review_text")), 6).alias("score"))
-
-
 # Frequent short words of the table's languages stand in for the lexicon, so that scores differ from zero.
 _COMMON_POS, _COMMON_NEG = ("the", "and", "der", "die", "los", "eau"), ("of", "und", "el", "ment", "is", "on")
 
+# Lexicon words put before the texts, by id, as the table's words are invented.
+_OPINIONS = f"CASE doc_id % 5 WHEN 0 THEN '{K.POSITIVE_WORDS[0]} {K.NEGATIVE_WORDS[0]} ' WHEN 1 THEN '{K.POSITIVE_WORDS[1].upper()}, ' WHEN 2 THEN '{K.NEGATIVE_WORDS[1]}. {K.POSITIVE_WORDS[2]} {K.NEGATIVE_WORDS[2]} ' WHEN 3 THEN '{K.NEGATIVE_WORDS[3]} ' ELSE '' END"
+
+
+@case("sentiment_light", f"""SELECT doc_id, round({SCORE}, 6) AS score FROM (SELECT doc_id, {TOKENS} AS tokens FROM
+ (SELECT doc_id, concat({_OPINIONS}, review_text) AS review_text FROM reviews))""")
+def _(spark, sf):
+    texts = view(spark, sf, "reviews").select("doc_id", F.concat(F.expr(_OPINIONS), "review_text").alias("t"))
+    return texts.select("doc_id", F.round(T.sentiment_light(F.col("t")), 6).alias("score"))
+
 
 @case("label_score", """SELECT doc_id, CASE WHEN contains(lower(label), 'pos') THEN score WHEN contains(lower(label), 'neg') THEN -score ELSE 0.0 END AS score
  FROM (SELECT doc_id, CASE quality % 2 WHEN 0 THEN 'NEGATIVE' ELSE CASE WHEN toxic = 1 THEN 'neutral' ELSE 'Positive' END END AS label,
@@ -114,10 +119,11 @@ def _(spark, sf):
     return df.withColumn("sentiment_avg", near("sentiment_avg", 6))
 
 
-@case("cap_texts", "SELECT least(500, count(*)) AS n, least(500, count(*)) AS different FROM reviews")
+@case("cap_texts", """SELECT doc_id, length(review_text) AS chars FROM reviews
+ ORDER BY md5(concat('42:', CAST(doc_id AS STRING))) LIMIT 500""")
 def _(spark, sf):
     kept = R.cap_texts(view(spark, sf, "reviews"), "doc_id", 500)
-    return kept.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("different"))
+    return kept.select("doc_id", F.length("review_text").cast("bigint").alias("chars"))
 
 
 _CITIES = {f"src{i}": f"{1000 * (1 + i):05d}" for i in (0, 3, 9, 12, 17)}
@@ -169,9 +175,13 @@ hits AS (SELECT insee_code, sentiment_avg, {_hits_sql(CALM)} AS calm_hits, {_hit
  {_hits_sql(K.ACTIVITY_KEYWORDS)} AS activity_hits FROM latest WHERE rn = 1)"""
 
 
-@case("nlp_term_hits", f"""WITH {DOCS}, {HITS} SELECT c.insee_code, {near_sql('sentiment_avg', 6)} AS sentiment_avg, coalesce(calm_hits, 0) AS calm_hits,
+_TRANSPORT, _ACTIVITY = ("and", "une", "mit", "los"), ("of", "que", "und", "les")
+_ALL_HITS = HITS.replace(_hits_sql(K.TRANSPORT_KEYWORDS), _hits_sql(_TRANSPORT)).replace(_hits_sql(K.ACTIVITY_KEYWORDS), _hits_sql(_ACTIVITY))
+
+
+@case("nlp_term_hits", f"""WITH {DOCS}, {_ALL_HITS} SELECT c.insee_code, {near_sql('sentiment_avg', 6)} AS sentiment_avg, coalesce(calm_hits, 0) AS calm_hits,
  coalesce(transport_hits, 0) AS transport_hits, coalesce(activity_hits, 0) AS activity_hits, h.insee_code IS NOT NULL AS has_nlp
  FROM (SELECT DISTINCT insee_code FROM census) c LEFT JOIN hits h ON c.insee_code = h.insee_code""")
 def _(spark, sf):
-    df = R.term_hits(documents(spark, sf), CALM, territories=view(spark, sf, "census"))
+    df = R.term_hits(documents(spark, sf), CALM, view(spark, sf, "census"), _TRANSPORT, _ACTIVITY)
     return df.withColumn("sentiment_avg", near("sentiment_avg", 6))

@@ -115,7 +115,7 @@ _DEPARTMENT_FRAME = f"""{{docs}}, direct AS (SELECT substr(insee_code, 1, 2) AS
   round_even((price_m2_median / median(price_m2_median) OVER () - 1.0) * 100.0, 1) AS prix_vs_mediane_nationale,
   {near_sql('sentiment_avg', 6)} AS sentiment_avg FROM shown LEFT JOIN sent USING (insee_code)""")
 def _(spark, sf):
-    docs = documents(spark, sf).where(F.col("insee_code").isin("01000", "04000", "10000", "13000", "18000"))
+    docs = documents(spark, sf)
     cities = {f"c{c}": c for c in ("01000", "04000", "10000", "13000", "18000")}
     df = exploration_frame(
         stored_facts(spark, sf), view(spark, sf, "census"), docs, "department", 2001, "apartments", "price_m2_avg", "0, 1", cities=cities
@@ -143,6 +143,5 @@ def _(spark, sf):
  SELECT f.insee_code, price_m2_avg, {near_sql('sentiment_avg', 6)} AS sentiment_avg FROM frame f
  LEFT JOIN (SELECT * FROM docs_latest WHERE rn = 1 AND insee_code IN ('01000', '04000', '10000', '13000', '18000')) d ON f.insee_code = d.insee_code""")
 def _(spark, sf):
-    side = latest_table(spark, sf).select(F.col("insee_code_city").alias("insee_code"), "sentiment_avg")
-    df = frame(spark, sf).join(side, "insee_code", "left")
+    df = S.join_sentiment(frame(spark, sf), latest_table(spark, sf), "city")
     return df.select("insee_code", "price_m2_avg", near("sentiment_avg", 6).alias("sentiment_avg"))

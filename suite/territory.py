@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from terroir.functions import codes as C
 from terroir.functions.numbers import weighted_avg
+from terroir.operators.scoring import join_demographics, with_indicator
 from terroir.operators import keyed
 from terroir.operators import territory as T
 
@@ -156,7 +157,7 @@ def _(spark, sf):
 
 @case("filter_not_null_indicator", """SELECT year, insee_code, region_insee_code, population FROM census WHERE region_insee_code IS NOT NULL""")
 def _(spark, sf):
-    df = view(spark, sf, "census").where(F.col("region_insee_code").isNotNull())
+    df = with_indicator(view(spark, sf, "census"), "region_insee_code")
     return df.select("year", "insee_code", "region_insee_code", "population")
 
 
@@ -315,7 +316,7 @@ def _(spark, sf):
  FROM prices p LEFT JOIN (SELECT * FROM census WHERE year = 1998) c ON p.insee_code = c.insee_code WHERE p.year = 1998""")
 def _(spark, sf):
     people = view(spark, sf, "census").where("year = 1998").select("insee_code", "population", "median_age")
-    df = view(spark, sf, "prices").where("year = 1998").join(people, "insee_code", "left")
+    df = join_demographics(view(spark, sf, "prices").where("year = 1998"), people)
     return df.select("year", "insee_code", "property_type", "price_m2_avg", "population", "median_age")
 
 

@@ -201,8 +201,8 @@ LINK_PATTERNS = {
     "leboncoin": (r"/ad/locations/\d+", r"/vi/\d+", r"/ad/\d+"),
     "bienici": (r"/annonce/location/[^/]+", r"/annonce/achat/[^/]+", r"/annonce/[^/]+/\d+"),
 }
-LINKS_PER_PAGE = 40
-LINKS_PER_PAGE_MAX = 200
+# Links that the crawl job takes from a page unless told otherwise.
+CRAWL_LINKS_PER_PAGE = 40
 
 # Window variables that may hold a page's state, in scan order.
 STATE_VARIABLES = (
@@ -215,6 +215,8 @@ STATE_VARIABLES = (
     "SELOGER_DATA",
     "__APP_STATE__",
 )
+# Fixed value: how such a variable is assigned; CORE is the name without the underscores around it.
+STATE_PATTERN = r'(?m)window(?:\["NAME"\]|\.__CORE__)\s*=\s*(\{[\s\S]+?\});?\s*(?:window|$)'
 JSONLD_TYPES = ("RealEstateListing", "Apartment", "House", "Product", "Offer")
 ENERGY_GRADES = ("A", "B", "C", "D", "E", "F", "G")
 

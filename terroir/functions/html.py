@@ -2,30 +2,27 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import let
 
-# Named entities.
-ENTITIES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "euro": "€",
-    "sup2": "²", "middot": "·", "ndash": "–", "mdash": "—", "hellip": "…", "rsquo": "’", "laquo": "«",
-    "raquo": "»", "deg": "°", "agrave": "à", "acirc": "â", "ccedil": "ç", "egrave": "è", "eacute": "é",
-    "ecirc": "ê", "euml": "ë", "icirc": "î", "iuml": "ï", "ocirc": "ô", "ugrave": "ù", "ucirc": "û",
-    "Agrave": "À", "Ccedil": "Ç", "Eacute": "É", "Egrave": "È", "Ecirc": "Ê",
-}
-_ENTITY = "&(?:#[0-9]{1,6}|#[xX][0-9a-fA-F]{1,5}|[a-zA-Z][a-zA-Z0-9]{1,7});"
+# All names of the HTML standard that end with a semicolon.
+ENTITIES = {name.removesuffix(";"): letters for name, letters in html5.items() if name.endswith(";")}
+_ENTITY = "&(?:#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,7}|[a-zA-Z][a-zA-Z0-9]{1,31});"
 
 
 def _letter(ref: Column) -> Column:
-    """The letter an entity stands for; unknown ones stay as they are."""
+    """The letters an entity stands for; unknown ones stay as they are. Numbers that are no character give U+FFFD."""
     name = F.regexp_replace(ref, "[&;]", "")
-    digits = F.when(F.lower(name).startswith("#x"), F.conv(F.substring(name, 3, 5), 16, 10)).otherwise(F.substring(name, 2, 6))
-    letter = F.decode(F.unhex(F.lpad(F.hex(digits.try_cast("bigint")), 4, "0")), "UTF-16BE")
+    digits = F.when(F.lower(name).startswith("#x"), F.conv(F.substring(name, 3, 7), 16, 10)).otherwise(F.substring(name, 2, 8))
+    point = digits.try_cast("bigint")
+    valid = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
+    letter = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, point).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
     named = F.try_element_at(F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair]), name)
-    numeric = F.when(name.startswith("#") & digits.try_cast("bigint").between(1, 0xD7FF), letter)
-    return F.coalesce(named, numeric, ref)
+    return F.when(name.startswith("#"), letter).otherwise(F.coalesce(named, ref))
 
 
 def unescape(text: Column) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def newest_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first in ``order``.
@@ -22,15 +24,44 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], year: str = "year") -> Da
     return newest_per_key(df, keys, [F.col(year).desc_nulls_last()])
 
 
-def listing_key() -> Column:
-    """Url when present, else id (normalised ids derive from the url)."""
-    return F.coalesce(F.nullif(F.col("url"), F.lit("")), F.col("id"))
+def connected_keys(edges: DataFrame, name: str = "keys") -> DataFrame:
+    """(node, component) of (a, b) edges: component is the smallest node reachable.
+
+    Labels go down along the edges and are then followed to their own label, until no label changes. A round is two
+    joins on a node, which Spark splits where one is hot, and is written to the shared folder.
+    """
+    both = materialize(edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select("b", "a")).distinct(), name)
+    labels = materialize(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")), name)
+    while True:
+        lowest = both.join(labels.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("label").alias("seen"))
+        moved = labels.join(lowest, "a").select("a", F.least("label", "seen").alias("label"), F.col("label").alias("was"))
+        jump = labels.select(F.col("a").alias("label"), F.col("label").alias("next"))
+        moved = materialize(moved.join(jump, "label", "left").select("a", F.least("label", "next").alias("label"), "was"), name)
+        if moved.where("label <> was").limit(1).count() == 0:
+            return labels.select(F.col("a").alias("node"), F.col("label").alias("component"))
+        labels = moved.select("a", "label")
+
+
+def listing_key(writes: DataFrame) -> DataFrame:
+    """The writes with ``_key``: rows that share an id or a url, directly or over other rows, have one key.
+
+    An id with one url that has one id is a key by itself; only the others go through the search for connected rows.
+    """
+    node = F.coalesce(F.concat(F.lit("u:"), F.nullif("url", F.lit(""))), F.concat(F.lit("i:"), F.nullif("id", F.lit(""))))
+    pairs = writes.select(
+        F.concat(F.lit("i:"), F.nullif("id", F.lit(""))).alias("a"), F.concat(F.lit("u:"), F.nullif("url", F.lit(""))).alias("b")
+    ).where("a IS NOT NULL AND b IS NOT NULL").distinct()
+    per_id, per_url = (pairs.groupBy(k).agg(F.count(F.lit(1)).alias(f"n_{k}")) for k in ("a", "b"))
+    counted = materialize(pairs.join(per_id, "a").join(per_url, "b").select("a", "b", (F.greatest("n_a", "n_b") > 1).alias("knot")), "listing-keys")
+    plain = counted.where("NOT knot").select(F.explode(F.array("a", "b")).alias("node"), F.col("a").alias("component"))
+    keys = plain.union(connected_keys(counted.where("knot"), "listing-knots"))
+    found = writes.withColumn("_node", node).join(keys.withColumnRenamed("node", "_node"), "_node", "left")
+    return found.select(*writes.columns, F.coalesce("component", "_node").alias("_key"))
 
 
 def upsert_listings(writes: DataFrame, order: Sequence[str]) -> DataFrame:
-    """State after a series of writes: the last one per listing key wins."""
-    keyed = writes.withColumn("_key", listing_key())
-    return newest_per_key(keyed, ["_key"], [F.col(c).desc_nulls_last() for c in order]).drop("_key")
+    """State after a series of writes: the last one per listing wins. A write meets the listing that has its id or its url."""
+    return newest_per_key(listing_key(writes), ["_key"], [F.col(c).desc_nulls_last() for c in order]).drop("_key")
 
 
 def merge_keyed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -45,9 +76,14 @@ def merge_keyed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     return newest_per_key(both, keys, [F.col("_new").desc()]).drop("_new")
 
 
-def insert_if_absent(existing: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
-    """The new rows that may be inserted: their id is not taken."""
-    return new.join(existing.select(key), key, "left_anti")
+def insert_if_absent(existing: DataFrame, new: DataFrame, key: str = "id", order: Sequence[str] = ()) -> DataFrame:
+    """The new rows that may be inserted: their id is not taken, and of several with one id the first in ``order``.
+
+    Without an order the smallest row in its columns' order counts as the first.
+    """
+    free = new.join(existing.select(key), key, "left_anti")
+    columns = [F.col(c).asc_nulls_last() for c in (order or [c for c, kind in new.dtypes if not kind.startswith("map")])]
+    return newest_per_key(free, [key], columns)
 
 
 def semi_join_codes(df: DataFrame, codes: DataFrame, key: str = "insee_code") -> DataFrame:

@@ -20,14 +20,14 @@ from .listings import FIELD_ALIASES
 def discover_links(
     pages: DataFrame,
     patterns: Mapping[str, Sequence[str]] = K.LINK_PATTERNS,
-    per_page: int = K.LINKS_PER_PAGE,
+    per_page: int | None = None,
 ) -> DataFrame:
     """(page columns but html, position, listing_url): distinct listing links in page order.
 
+    All links of a page are kept; ``per_page`` keeps the first so many of each page.
     ``patterns`` maps a part of the page's host name to path patterns. All work is
     inside the page's row: the duplicates of a page meet in one array, not in a shuffle.
     """
-    limit = min(per_page, K.LINKS_PER_PAGE_MAX) if per_page > 0 else K.LINKS_PER_PAGE
     page_host = F.col("_host")
     wanted = F.lit(None).cast("string")
     for name, regexes in reversed(list(patterns.items())):
@@ -47,7 +47,9 @@ def discover_links(
         lambda h: (h != "") & ~h.startswith("#") & ~h.startswith("javascript:"),
     )
     links = F.filter(F.transform(hrefs, lambda h: H.resolve_url(F.col("_base"), h)), keep)
-    kept = F.slice(F.array_distinct(links), 1, limit)
+    kept = F.array_distinct(links)
+    if per_page is not None:
+        kept = F.slice(kept, 1, per_page)
     columns = [c for c in pages.columns if c != "html"]
     return base.select(*columns, F.posexplode(kept).alias("position", "listing_url"))
 
@@ -194,9 +196,12 @@ def _state_schema(site: str) -> str:
 
 
 def _seloger(j: str, deep: Column) -> Column:
-    """Fields of a listing struct ``j`` and its details; ``deep`` is its JSON text, searched when no path has a number."""
-    c = lambda *names: F.coalesce(*[F.col(f"{j}.{p}.{n}") for n in names for p in ("characteristics", "features", "details")])
-    loc = lambda *names: F.coalesce(*[F.col(f"{j}.{p}.{n}") for n in names for p in ("location", "perimeter", "address")])
+    """Fields of a listing struct ``j`` and its details; ``deep`` is the listing's JSON text, searched when no path has a number."""
+    # Of several objects with details or a place, the first that exists is the only one that is read.
+    details = F.coalesce(*_cols(j, "characteristics", "features", "details"))
+    where = F.coalesce(*_cols(j, "location", "perimeter", "address"))
+    c = lambda *names: F.coalesce(*[details[n] for n in names])
+    loc = lambda *names: F.coalesce(*[where[n] for n in names])
     find = lambda key: parse_number_compact(F.nullif(F.regexp_extract(deep, rf'"{key}"\s*:\s*"?([0-9][^",}}\]]*)', 1), F.lit("")))
     return _layer({
         "title": _pick(j, "title", "publicationTitle"),
@@ -254,7 +259,8 @@ def _leboncoin(j: str) -> Column:
 def _bienici(j: str) -> Column:
     number = lambda *names: parse_number_compact(_pick(j, *names))
     blurred = F.coalesce(~_pick(j, "blurInfo").isin("", "false", "0"), F.lit(False))
-    place = lambda *names: number(*[f"{p}.{n}" for n in names for p in ("coordinates", "position")], names[0])
+    spot = F.coalesce(*_cols(j, "coordinates", "position"))
+    place = lambda *names: parse_number_compact(F.coalesce(*[spot[n] for n in names], F.col(f"{j}.{names[0]}")))
     return _layer({
         "title": _pick(j, "title", "propertyTitle"), "price": number("price", "monthlyPrice"),
         "surface": number("surfaceArea", "surface"), "rooms": number("roomsCount", "rooms"),
@@ -306,9 +312,14 @@ def _state_listings() -> dict[str, Column]:
     }
 
 
+def _listing_text(layer: str, site: str) -> Column:
+    """JSON text of the listing alone: the rest of a state may hold other ads."""
+    return F.coalesce(*[F.get_json_object(F.col(_STATE_TEXTS[layer]), f"$.props.pageProps.{p}") for p in STATE_PATHS[site]])
+
+
 def _state_layer(layer: str) -> Column:
     readers = {
-        "seloger": lambda j: _seloger(j, F.col(_STATE_TEXTS[layer])), "leboncoin": _leboncoin, "bienici": _bienici, "": _generic,
+        "seloger": lambda j: _seloger(j, _listing_text(layer, "seloger")), "leboncoin": _leboncoin, "bienici": _bienici, "": _generic,
     }
     chosen = F.lit(None)
     for site, read in readers.items():
@@ -323,7 +334,7 @@ def _window_text(html: Column, host: Column) -> Column:
     patterns = []
     for name in K.STATE_VARIABLES:
         core = name.removeprefix("__").removesuffix("__")
-        patterns.append(rf'(?m)window(?:\["{name}"\]|\.__{core}__)\s*=\s*(\{{[\s\S]+?\}});?\s*(?:window|$)')
+        patterns.append(K.STATE_PATTERN.replace("NAME", name).replace("CORE", core))
     texts = F.flatten(F.transform(
         scripts, lambda s: F.array(*[F.nullif(F.regexp_extract(s, p, 1), F.lit("")) for p in patterns])
     ))
@@ -357,10 +368,16 @@ _HYDRATED = _schema(
 def _hydration_text(html: Column) -> Column:
     """The state of pages that hold it as a JSON text inside a JSON text."""
     body = H.script_by_id(html, "__UFRN_LIFECYCLE_SERVERREQUEST__")
-    literal = F.regexp_extract(body, r'(?s)JSON\.parse\((".*?(?<!\\)(?:\\\\){0,8}")\)', 1)
+    # Pairs of backslashes step aside, so that a quote after a single one is an escaped quote.
+    marked = F.replace(body, F.lit("\\\\"), F.lit("\ue000"))
+    literal = F.replace(F.regexp_extract(marked, r'(?s)JSON\.parse\((".*?(?<!\\)")\)', 1), F.lit("\ue000"), F.lit("\\\\"))
     return F.from_json(F.concat(F.lit('{"v":'), F.nullif(literal, F.lit("")), F.lit("}")), "v string")["v"]
 
 
+# A scale is one of the two: those named so are not the other, whatever else the name holds.
+_DPE_NAMES = ("dpe", "performance")
+
+
 def _number_in(text: Column) -> Column:
     """The first number in a label such as "1 415 €"."""
     compact = F.regexp_replace(text, r"(?U)\s", "")
@@ -378,9 +395,12 @@ def _hydration_layer(j: str) -> Column:
 
     scales = F.flatten(F.transform(at("energy.certificates"), lambda c: F.coalesce(c["scales"], F.array())))
 
-    def grade(*words: str) -> Column:
-        rating = pick(scales, lambda s: contains_any(F.lower(s["name"]), words))["efficiencyClass"]["rating"]
-        return F.substring(F.trim(rating), 1, 1)
+    def grade(words: Sequence[str], others: Sequence[str] = ()) -> Column:
+        def named(s: Column) -> Column:
+            hit = contains_any(F.lower(s["name"]), words)
+            return hit & ~contains_any(F.lower(s["name"]), others) if others else hit
+
+        return F.substring(F.trim(pick(scales, named)["efficiencyClass"]["rating"]), 1, 1)
 
     def feature(*icons: str) -> Column:
         value = F.lower(pick(at("features.preview"), lambda f: F.lower(f["icon"]).isin(*icons))["value"])
@@ -406,7 +426,7 @@ def _hydration_layer(j: str) -> Column:
         "bedrooms": F.floor(leading_number(fact("numberOfBedrooms")["splitValue"])),
         "floor": F.nullif(fact("numberOfFloors")["value"], F.lit("")), "furnished": ~F.contains(furnished, F.lit("non meublé")),
         "deposit": leading_number(F.replace(deposit["text"], F.lit(","), F.lit("."))),
-        "dpe": grade("dpe", "performance"), "ges": grade("ges", "serre"),
+        "dpe": grade(_DPE_NAMES), "ges": grade(("ges", "serre"), _DPE_NAMES),
         "elevator": feature("elevator"), "parking": feature("parking", "parking-lots"), "cellar": feature("cellar"),
         "balcony": feature("balcony"), "terrace": feature("terrace"),
         "description": F.nullif(strip(F.coalesce(at("mainDescription.description"), at("description.description"))), F.lit("")),

@@ -109,21 +109,21 @@ def median_by(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataF
 
 
 def smallest_by_hash(df: DataFrame, id_col: str, n: int, seed: int) -> DataFrame:
-    """Exactly ``n`` rows (or all): those with the smallest seeded hash of their id.
+    """Exactly ``n`` rows (or all): those with the smallest md5 of seed and id.
 
-    Slices of the hash range are counted (at most 2**16 counters); whole slices
-    below the cut are kept and only the slice at the cut is ranked.
+    Slices of the hash range are counted (at most 2**16 counters). Only the hashes and ids of the slice at the cut are
+    ranked, to find the last one that stays; the rows themselves are filtered against it and never move. Ids are to
+    be distinct: rows that repeat the last one all stay.
     """
-    hashed = df.withColumn("_h", F.xxhash64(F.lit(seed), F.col(id_col)))
-    hashed = hashed.withColumn("_slice", F.shiftright("_h", 48))
-    counts = hashed.groupBy("_slice").agg(F.count(F.lit(1)).alias("_c"))
+    key = F.md5(F.concat_ws(":", F.lit(seed).cast("string"), F.col(id_col).cast("string")))
+    hashed = df.withColumn("_h", key)
+    slim = hashed.select("_h", F.col(id_col).alias("_id"), F.substring("_h", 1, 4).alias("_slice"))
+    counts = slim.groupBy("_slice").agg(F.count(F.lit(1)).alias("_c"))
     before = F.coalesce(
         F.sum("_c").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
-    slices = counts.withColumn("_before", before).where(F.col("_before") < n)
-    kept = hashed.join(F.broadcast(slices), "_slice")
-    partial = F.col("_before") + F.col("_c") > n
-    whole = kept.where(~partial)
-    rank = F.row_number().over(Window.partitionBy("_slice").orderBy("_h", id_col))
-    cut = kept.where(partial).withColumn("_rank", rank).where(F.col("_rank") <= n - F.col("_before"))
-    return whole.unionByName(cut.drop("_rank")).drop("_h", "_slice", "_c", "_before")
+    at_cut = counts.withColumn("_before", before).where((F.col("_before") < n) & (F.col("_before") + F.col("_c") >= n))
+    rank = F.row_number().over(Window.partitionBy("_slice").orderBy("_h", "_id"))
+    last = slim.join(F.broadcast(at_cut), "_slice").withColumn("_rank", rank).where(F.col("_rank") == n - F.col("_before"))
+    end = last.agg(F.max("_h")).scalar()  # null if there are fewer rows
+    return hashed.where(end.isNull() | (F.col("_h") <= end)).drop("_h")

@@ -170,7 +170,10 @@ def _hits(terms: Column, keywords: Sequence[str]) -> Column:
     return F.coalesce(F.aggregate(hit, F.lit(0).cast("bigint"), lambda acc, t: acc + F.coalesce(t["freq"], F.lit(1))), F.lit(0))
 
 
-def term_hits(docs: DataFrame, calm: Sequence[str] = K.CALM_KEYWORDS, territories: DataFrame | None = None) -> DataFrame:
+def term_hits(
+    docs: DataFrame, calm: Sequence[str] = K.CALM_KEYWORDS, territories: DataFrame | None = None,
+    transport: Sequence[str] = K.TRANSPORT_KEYWORDS, activity: Sequence[str] = K.ACTIVITY_KEYWORDS,
+) -> DataFrame:
     """Keyword hits in the latest document per territory.
 
     ``territories`` (insee_code) adds those without any document, with zero hits.
@@ -179,8 +182,8 @@ def term_hits(docs: DataFrame, calm: Sequence[str] = K.CALM_KEYWORDS, territorie
     metrics = latest.select(
         "insee_code", "sentiment_avg",
         _hits(F.col("top_terms"), calm).alias("calm_hits"),
-        _hits(F.col("top_terms"), K.TRANSPORT_KEYWORDS).alias("transport_hits"),
-        _hits(F.col("top_terms"), K.ACTIVITY_KEYWORDS).alias("activity_hits"),
+        _hits(F.col("top_terms"), transport).alias("transport_hits"),
+        _hits(F.col("top_terms"), activity).alias("activity_hits"),
         F.lit(True).alias("has_nlp"),
     )
     if territories is None:

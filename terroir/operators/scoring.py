@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..session import materialize
 from .ranking import median_by, percentile_score
+from .reviews import sentiment_by_department
 
 
 def add_liquidity(df: DataFrame) -> DataFrame:
@@ -50,9 +51,40 @@ def sentiment_points(sentiment: Column) -> Column:
     return F.when(sentiment.isNotNull(), clamped).otherwise(F.lit(K.NEUTRAL_SCORE))
 
 
+# The other names of the weights.
+WEIGHT_NAMES = {"prix": "price", "marche": "market"}
+
+
+def live_weights(weights: Mapping[str, float] | None) -> dict[str, float]:
+    """The weights by their names here, defaults for those not given; a name that nothing is weighed by is an error."""
+    given = {WEIGHT_NAMES.get(name, name): float(value) for name, value in (weights or {}).items()}
+    unknown = sorted(set(given) - set(K.LIVE_WEIGHTS))
+    if unknown:
+        raise ValueError(f"unknown weights {unknown}; there are {sorted(K.LIVE_WEIGHTS)} and {sorted(WEIGHT_NAMES)}")
+    return {**K.LIVE_WEIGHTS, **given}
+
+
+def join_demographics(df: DataFrame, people: DataFrame, columns: Sequence[str] = ("population", "median_age")) -> DataFrame:
+    """Left join of population figures by code."""
+    return df.join(people.select("insee_code", *columns), "insee_code", "left")
+
+
+def join_sentiment(df: DataFrame, table: DataFrame, level: str) -> DataFrame:
+    """Left join of the newest review sentiment: of the commune, or the mean of a department; other levels have none."""
+    if level == "city":
+        side = table.select(F.col("insee_code_city").alias("insee_code"), "sentiment_avg", "city_name")
+        return df.join(side, "insee_code", "left")
+    return df.join(sentiment_by_department(table), "insee_code", "left") if level == "department" else df
+
+
+def with_indicator(df: DataFrame, indicator: str) -> DataFrame:
+    """Rows whose indicator is known; none if the frame has no such column."""
+    return df.where(F.col(indicator).isNotNull()) if indicator in df.columns else df.limit(0)
+
+
 def where_to_live(df: DataFrame, metrics: DataFrame | None = None, weights: Mapping[str, float] | None = None) -> DataFrame:
     """Weighted mean of affordable price, population, sentiment and market activity."""
-    w = {**K.LIVE_WEIGHTS, **(weights or {})}
+    w = live_weights(weights)
     total = sum(w.values()) if sum(w.values()) > 0 else 1.0
     out = df
     if metrics is not None:

@@ -257,7 +257,10 @@ def rollup_prices_unweighted(
         F.avg("price_m2_avg").alias("price_m2_avg"), F.sum("mutation_count").cast("double").alias("mutation_count")
     )
     medians = median_by(keyed, keys, "price_m2_median", "price_m2_median")
-    return sums.join(medians, keys, "left").withColumn("level", F.lit(level)).select(*PRICE_COLUMNS)
+    # A property type may be null: its rows are a group like others.
+    m = medians.select(*[F.col(k).alias(f"_{k}") for k in keys], "price_m2_median")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return sums.join(m, same, "left").withColumn("level", F.lit(level)).select(*PRICE_COLUMNS)
 
 
 def rollup_demographics(facts: DataFrame, level: str, year: int | None = None, region_rule: str = "lookup") -> DataFrame:

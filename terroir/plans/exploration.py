@@ -31,19 +31,13 @@ def exploration_frame(
     if level == "city":
         frame, people = T.commune_codes_only(frame), T.commune_codes_only(people)
     if indicator in ("population", "median_age"):
-        frame = people
+        # No territories without prices: the slice decides whether there is anything to show.
+        frame = people.where(frame.limit(1).agg(F.count(F.lit(1))).scalar() > 0)
     else:
-        frame = frame.join(people.select("insee_code", "population", "median_age"), "insee_code", "left")
+        frame = S.join_demographics(frame, people)
     frame = T.code_prefixes(frame, T.parse_prefixes(prefixes))
     if level == "department" and "mutation_count" in frame.columns:
         frame = S.add_liquidity(frame)
     if docs is not None:
-        table = R.latest_sentiment_table(docs, cities)
-        if level == "city":
-            side = table.select(F.col("insee_code_city").alias("insee_code"), "sentiment_avg", "city_name")
-            frame = frame.join(side, "insee_code", "left")
-        elif level == "department":
-            frame = frame.join(R.sentiment_by_department(table), "insee_code", "left")
-    if indicator not in frame.columns:
-        return frame.limit(0)
-    return frame.where(F.col(indicator).isNotNull())
+        frame = S.join_sentiment(frame, R.latest_sentiment_table(docs, cities), level)
+    return S.with_indicator(frame, indicator)

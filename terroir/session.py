@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -31,14 +33,18 @@ def build_session(app_name: str = "terroir", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where it is unset (tests, a laptop) a fresh temporary folder is made
-    and remembered in the session.
+    Where it is unset, a local master gets a fresh temporary folder that lives as
+    long as the process. A cluster raises: its executors share no local folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         base = spark.conf.get("terroir.local.scratch", None)
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         base = tempfile.mkdtemp(prefix="terroir-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("terroir.local.scratch", base)
     return base.rstrip("/")
 
@@ -48,8 +54,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_WRITTEN: list[str] = []
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage by writing a table to the shared folder and reading it back."""
+    """Cut the lineage by writing a table to the shared folder and reading it back.
+
+    The table stays until ``release``: whatever is read from it is read when an action runs.
+    """
     path = scratch_path(df.sparkSession, name)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables that ``materialize`` has written so far in this process; call it when a run's results are stored."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    count = 0
+    while _WRITTEN:
+        path = hadoop.Path(_WRITTEN.pop())
+        count += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return count
+
+
+def apply_runtime_conf(spark: SparkSession) -> None:
+    """Set those of the recommended settings that may change in a running session."""
+    for key, value in RECOMMENDED_CONF.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)

@@ -20,9 +20,11 @@ SAMPLE_CHARS = 20_000
 def sniff_delimiter(spark: SparkSession, path: str) -> str:
     """Most frequent candidate among the first characters of the file; a comma when none occurs.
 
-    Only the head of the file is looked at: a bounded number of lines, cut to the sample size.
+    Of a folder the first file is looked at. Every line takes a character at least, its end, so the sample never
+    needs more lines than characters.
     """
-    head = spark.read.text(path).select(F.substring("value", 1, SAMPLE_CHARS).alias("value")).limit(1000)
+    first = min(spark.read.text(path).inputFiles())
+    head = spark.read.text(first).select(F.substring("value", 1, SAMPLE_CHARS).alias("value")).limit(SAMPLE_CHARS)
     lines = [r.value for r in head.collect()]
     sample = "\n".join(lines)[:SAMPLE_CHARS]
     best = max(DELIMITERS, key=sample.count)
@@ -34,15 +36,19 @@ def csv_header(spark: SparkSession, path: str, delimiter: str) -> list[str]:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, delimiter: str | None = None
+    spark: SparkSession, path: str, schema: T.StructType | None = None, delimiter: str | None = None, multi_line: bool = False
 ) -> DataFrame:
-    """CSV with a header. Without a schema every column of the header is text; only used columns are parsed."""
+    """CSV with a header. Without a schema every column of the header is text; only used columns are parsed.
+
+    Files of a folder must have the header of the first; one that orders or names columns otherwise stops the read.
+    ``multi_line`` reads line breaks inside quotes, at the price of one task per file.
+    """
     sep = delimiter or sniff_delimiter(spark, path)
     names = csv_header(spark, path, sep)
     texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
     df = (
         spark.read.schema(texts).option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
-        .option("encoding", "UTF-8").csv(path)
+        .option("encoding", "UTF-8").option("enforceSchema", False).option("multiLine", multi_line).csv(path)
     )
     if schema is None:
         return df
@@ -73,8 +79,8 @@ def read_codes(spark: SparkSession, path: str, schema: T.StructType, level: str,
 def read_reviews(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """Review CSV files, gzipped or not, with ``review_text`` and the raw date as ``review_date``.
 
-    A gzip file is read by one task whatever its size, so its rows are spread
-    right after the scan (``partitions`` or the session's shuffle partitions).
+    A file with quoted line breaks is read by one task whatever its size. Many files spread by themselves; for few
+    large ones ``partitions`` deals the rows out right after the scan. Convert them to Parquet once to read them often.
     """
     df = (
         spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("quote", '"')
@@ -85,8 +91,7 @@ def read_reviews(spark: SparkSession, path: str, partitions: int | None = None)
         F.col(text).alias("review_text"),
         (F.col(date) if date else F.lit(None).cast("string")).alias("review_date"),
     )
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return chosen.repartition(count)
+    return chosen.repartition(partitions) if partitions else chosen
 
 
 # Properties that may hold a territory code.

@@ -15,16 +15,13 @@ from ..operators.similarity import similar_lists
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("level", "year")) -> None:
     """Full rewrite partitioned by columns; rows are grouped first so each partition gets few files.
 
-    Partition values may be badly skewed (most rows are cities), so the shuffle
-    keys also hold a hash slice of the row: a hot partition is written by many tasks.
+    Partition values may be badly skewed (most rows are cities): the rebalance is one that adaptive execution splits
+    where a partition is too large for one task and joins where many are small.
     """
     lacking = [c for c in partition_by if c not in df.columns]
     if lacking:
         raise ValueError(f"missing partition columns: {lacking}")
-    rest = [c for c in df.columns if c not in partition_by]
-    slices = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
-    spread = F.pmod(F.xxhash64(*rest), F.lit(slices)) if rest else F.lit(0)
-    df.repartition(*partition_by, spread).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def _current(spark: SparkSession, root: str) -> str | None:

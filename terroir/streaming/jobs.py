@@ -112,9 +112,10 @@ def created_messages(spark: SparkSession, paths: JobPaths) -> DataFrame:
 
 # --- stored pages -> crawl and raw events ----------------------------------
 
-def links_from_pages(pages: DataFrame, **options) -> DataFrame:
-    """Stream of crawl messages from a stream of search pages (no state, no shuffle)."""
-    return E.crawl_messages(discover_links(pages.select("url", "html"), **options))
+def links_from_pages(pages: DataFrame, per_page: int | None = K.CRAWL_LINKS_PER_PAGE, **options) -> DataFrame:
+    """Stream of crawl messages from a stream of search pages (no state, no shuffle): the first ``per_page`` links of
+    each page, all with None."""
+    return E.crawl_messages(discover_links(pages.select("url", "html"), per_page=per_page, **options))
 
 
 def raw_from_pages(pages: DataFrame) -> DataFrame:

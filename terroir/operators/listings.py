@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -71,15 +71,23 @@ def normalize_listings(
 
 
 def split_rejects(normalized: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid listings, rejected rows with their reason).
+    """(valid listings, rejected rows with their reason). Where both are used, give it a stored frame.
 
-    The filter also names the task number: a filter on computed columns alone
-    would be pushed below the normalisation and repeat its geocoding in the condition.
+    A filter on the reason alone would be pushed below the normalisation and repeat its geocoding in the condition. So
+    the computed columns pass a one-row list that is filtered; conditions on the url still reach the scan.
     """
-    staged = normalized.withColumn("_task", F.spark_partition_id())
-    computed = F.col("_task") >= 0
-    valid = staged.where(computed & F.col("reject_reason").isNull()).drop("reject_reason", "_task")
-    return valid, staged.where(computed & F.col("reject_reason").isNotNull()).drop("_task")
+    valid = where_computed(normalized, ["url"], lambda row: row["reject_reason"].isNull()).drop("reject_reason")
+    return valid, where_computed(normalized, ["url"], lambda row: row["reject_reason"].isNotNull())
+
+
+def where_computed(df: DataFrame, plain: Sequence[str], condition: Callable[[Column], Column]) -> DataFrame:
+    """Rows of ``df`` that meet a condition on computed columns, which are computed once.
+
+    ``plain`` names columns that come from the input as they are: later filters on them are pushed below the computation.
+    """
+    rest = [c for c in df.columns if c not in plain]
+    row = F.filter(F.array(F.struct(*rest)), condition)
+    return df.select(*plain, F.inline(row)).select(*df.columns)
 
 
 def _alias(df: DataFrame, names: Sequence[str]) -> Column:

@@ -12,7 +12,7 @@ from ..functions import html as H
 from ..functions.listing import detect_type, energy_grade, strip
 from ..functions.numbers import leading_number, parse_number_compact, parse_number_fr
 from ..functions.text import amenity_flags, contains_any
-from .listings import FIELD_ALIASES
+from .listings import FIELD_ALIASES, where_computed
 
 # --- links -----------------------------------------------------------------
 
@@ -527,7 +527,6 @@ def extract_layers(pages: DataFrame) -> DataFrame:
     return staged.select(
         *columns, _state_layer("state").alias("state"), _state_layer("window").alias("window"),
         _jsonld_layer(F.col("_ld")).alias("jsonld"), _hydration_layer("_hydrated").alias("html"), _og_layer().alias("og"),
-        F.spark_partition_id().alias("_task"),
     )
 
 
@@ -537,13 +536,12 @@ def merge_first_non_null(layers: DataFrame, order: Sequence[str] = LAYERS) -> Da
     merged = layers.select(
         *others, *[F.coalesce(*[F.col(f"{layer}.{name}") for layer in order]).alias(name) for name in _FIELD_TYPES]
     )
-    some = (F.coalesce("price", F.lit(0.0)) != 0) | (F.coalesce("surface", F.lit(0.0)) != 0)
-    kept = some | (F.coalesce("title", F.lit("")) != "")
-    if "_task" not in layers.columns:
-        return merged.where(kept)
-    # The task number keeps this filter above the extraction: pushed below, it
-    # would repeat the whole extraction inside its own condition.
-    return merged.where(kept & (F.col("_task") >= 0)).drop("_task")
+
+    def kept(row: Column) -> Column:
+        some = (F.coalesce(row["price"], F.lit(0.0)) != 0) | (F.coalesce(row["surface"], F.lit(0.0)) != 0)
+        return some | (F.coalesce(row["title"], F.lit("")) != "")
+
+    return where_computed(merged, others, kept)
 
 
 def page_listings(pages: DataFrame) -> DataFrame:

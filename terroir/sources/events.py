@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import constants as K
+from ..functions.numbers import parse_number_fr
 
 _CORRUPT = "_corrupt"
 
@@ -24,20 +25,46 @@ def read_topic(
     )
 
 
-def read_topic_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """The same topic as text files with one JSON value per line."""
+def read_topic_files(spark: SparkSession, path: str, max_files: int | None = None, max_bytes: str | None = None) -> DataFrame:
+    """The same topic as text files with one JSON value per line; a batch is bounded by files or by bytes (like "10g")."""
     reader = spark.readStream.format("text")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.load(path)
 
 
+def _loose(kind: T.DataType) -> T.DataType:
+    """The same structure with every value as text, so that no value is of a wrong type."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _loose(f.dataType)) for f in kind])
+    return T.StringType()
+
+
+def _strict(value: Column, kind: T.DataType) -> Column:
+    """Texts as the declared types; what cannot be read as its type is null."""
+    if isinstance(kind, T.StructType):
+        return F.when(value.isNotNull(), F.struct(*[_strict(value[f.name], f.dataType).alias(f.name) for f in kind]))
+    if isinstance(kind, T.StringType):
+        return value
+    if isinstance(kind, T.DoubleType):
+        return F.coalesce(value.try_cast("double"), parse_number_fr(value))
+    if isinstance(kind, T.ArrayType):
+        return F.from_json(value, kind.simpleString())
+    return value.try_cast(kind)
+
+
 def parse_events(messages: DataFrame, schema: T.StructType) -> DataFrame:
-    """Messages with the parsed ``body``; the text itself stays in ``_corrupt`` when it is not valid JSON."""
-    permissive = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    body = F.from_json("value", permissive, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    parsed = messages.withColumn("body", body)
-    return parsed.withColumn(_CORRUPT, F.when(F.col("body").isNull(), F.col("value")).otherwise(F.col(f"body.{_CORRUPT}")))
+    """Messages with the parsed ``body``; the text itself stays in ``_corrupt`` when it is not a JSON object.
+
+    Fields are read as text and converted one by one, so a field of an odd type is null and the rest of its message stays.
+    """
+    loose = F.from_json("value", _loose(schema))
+    whole = F.startswith(F.trim(F.get_json_object("value", "$")), F.lit("{"))
+    parsed = messages.withColumn("_body", loose)
+    return parsed.withColumn("body", _strict(F.col("_body"), schema)).drop("_body").withColumn(
+        _CORRUPT, F.when(~F.coalesce(whole, F.lit(False)), F.col("value")))
 
 
 def of_type(parsed: DataFrame, *names: str) -> DataFrame:

@@ -43,26 +43,42 @@ def read_versioned(spark: SparkSession, root: str) -> DataFrame | None:
     return None if path is None else spark.read.parquet(path)
 
 
-def write_version(df: DataFrame, root: str) -> str:
-    """Write the next version beside the current one and return its path.
+class ConcurrentWrite(RuntimeError):
+    """Another writer has claimed the next version."""
 
-    Readers switch when the new version is complete; a lost driver leaves an
-    incomplete folder that no reader looks at.
+
+def claim_version(spark: SparkSession, root: str, after: str | None, take_over: bool = False) -> str:
+    """The folder of the version after ``after``, for this writer alone.
+
+    A claim is a file that is created only if it is not there. Whoever finds it taken must not write: its changes rest
+    on a version that is about to be replaced. ``take_over`` is for the claim of a writer that is known to be dead.
     """
-    spark = df.sparkSession
-    current = _current(spark, root)
-    number = 0 if current is None else int(current.rsplit("/v", 1)[1].split("-")[0]) + 1
-    path = f"{root}/v{number:010d}-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(path)
-    return path
+    number = 0 if after is None else int(after.rsplit("/v", 1)[1].split("-")[0]) + 1
+    claim = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_claim-{number:010d}")
+    fs = claim.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.createNewFile(claim) and not take_over:
+        raise ConcurrentWrite(f"version {number} of {root} is being written")
+    return f"{root}/v{number:010d}-{uuid.uuid4().hex[:8]}"
+
 
+def upsert_keyed(new: DataFrame, root: str, keys: Sequence[str], keep_versions: int = 3, take_over: bool = False) -> DataFrame:
+    """Merge rows into a versioned table by key and return the table after the merge.
 
-def upsert_keyed(new: DataFrame, root: str, keys: Sequence[str]) -> DataFrame:
-    """Merge rows into a versioned table by key and return the table after the merge."""
+    The next version is claimed before the current one is read, so of two writers one raises ``ConcurrentWrite`` and
+    can try again. Readers switch when the new version is complete; a lost driver leaves an incomplete folder that no
+    reader looks at. The newest ``keep_versions`` stay for readers that still use them, older ones are deleted.
+    """
     spark = new.sparkSession
-    old = read_versioned(spark, root)
-    write_version(new if old is None else merge_keyed(old, new, keys), root)
-    return read_versioned(spark, root)
+    current = _current(spark, root)
+    path = claim_version(spark, root, current, take_over)
+    old = None if current is None else spark.read.parquet(current)
+    (new if old is None else merge_keyed(old, new, keys)).write.parquet(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    versions = sorted(s.getPath().getName() for s in fs.listStatus(hadoop.Path(root)) if s.isDirectory())
+    for name in versions[: max(0, len(versions) - keep_versions)]:
+        fs.delete(hadoop.Path(root, name), True)
+    return spark.read.parquet(path)
 
 
 def write_similar_index(ranked: DataFrame, listings: DataFrame, path: str) -> None:

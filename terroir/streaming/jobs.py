@@ -78,18 +78,17 @@ _CHANGE = T.StructType([*schemas.LISTING.fields, T.StructField("event_time", T.S
 
 
 def preprocess(messages: DataFrame, paths: JobPaths, service: str = "terroir", timeout: int | None = None) -> StreamingQuery:
-    """Raw listing events to a log of normalised listings, created events and a quarantine."""
+    """Raw listing events to a log of normalised listings, created events and a quarantine of the messages as they came."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
         parsed = E.parse_events(batch, schemas.RAW_EVENT)
-        raw = E.of_type(parsed, K.EVENT_RAW).select("body.payload.*", F.col("body.timestamp").alias("event_time"))
-        done = normalize_listings(raw, keep=("event_time",)).persist()
-        valid = done.where(F.col("reject_reason").isNull()).drop("reject_reason")
+        raw = E.of_type(parsed, K.EVENT_RAW).select("body.payload.*", F.col("body.timestamp").alias("event_time"), F.col("value").alias("message"))
+        done = normalize_listings(raw, keep=("event_time", "message")).persist()
+        valid = done.where(F.col("reject_reason").isNull()).drop("reject_reason", "message")
         rejected = done.where(F.col("reject_reason").isNotNull())
         write_batch(valid, paths.table("listings"), batch_id)
         write_batch(E.created_events(valid.drop("event_time"), service), paths.table("created"), batch_id)
-        as_value = F.to_json(F.struct("id", "url", "event_time")).alias("value")
-        quarantine = E.bad_records(parsed).unionByName(rejected.select(as_value, F.col("reject_reason").alias("reason")))
+        quarantine = E.bad_records(parsed).unionByName(rejected.select(F.col("message").alias("value"), F.col("reject_reason").alias("reason")))
         write_batch(quarantine, paths.table("quarantine"), batch_id)
         done.unpersist()
 
@@ -153,15 +152,17 @@ def refresh_index(
     def each(batch: DataFrame, batch_id: int) -> None:
         events = E.of_type(E.parse_events(batch, schemas.LISTING_EVENT), K.EVENT_CREATED, K.EVENT_BOOTSTRAPPED)
         table = listings().withColumn("city", city_from_address(F.col("address")))
-        touched = events.select(city_from_address(F.col("body.listing.address")).alias("city")).where("city IS NOT NULL")
-        everything = events.where(F.col("body.event") == K.EVENT_BOOTSTRAPPED).agg(F.count(F.lit(1))).scalar() > 0
-        cities = touched.union(table.where(everything).select("city")).distinct()
-        write_batch(cities, paths.table("refreshed"), batch_id)
-        cities = batch.sparkSession.read.schema(_CITY).parquet(f"{paths.table('refreshed')}/batch={batch_id}")
+        cities = events.select(city_from_address(F.col("body.listing.address")).alias("city")).where("city IS NOT NULL")
+        if events.where(F.col("body.event") == K.EVENT_BOOTSTRAPPED).limit(1).count():
+            cities = cities.union(table.select("city"))
+        write_batch(cities.distinct(), paths.table("touched"), batch_id)
+        cities = batch.sparkSession.read.schema(_CITY).parquet(f"{paths.table('touched')}/batch={batch_id}")
         affected = table.join(cities, "city", "left_semi")
         ranked = topk_similar(affected)
         with_city = ranked.join(affected.select(F.col("id").alias("base_id"), "city"), "base_id")
         write_batch(with_city.select(*_RANKED.names), paths.table("index"), batch_id)
+        # The mark that readers go by comes last: until then they see the index of the batch before.
+        write_batch(cities, paths.table("refreshed"), batch_id)
 
     return run_bounded(messages, each, paths, timeout=timeout)
 

@@ -12,15 +12,19 @@ operator starts work when it is called; its result is lazy.
    keeps only its ``k + 1`` smallest ids - no other copy can be in a top ``k``.
 2. Spots are range-partitioned along a space-filling curve inside their city, so
    a hot city spreads over many tasks. The neighbours along the curve give every
-   spot a search radius: ``k + 1`` ids are known to lie within it.
-3. The radius picks a grid level (cells between one and two radii wide). Each
-   base probes the few cells that its radius can reach; an equi-join on
-   (city, level, cell) with the spots finds every candidate within the radius.
-4. Candidates are ranked per spot, then each listing takes its spot's list
-   without itself.
-
-The radius is an upper bound whatever the partitioning was, so the result does
-not depend on it. Dense places get small radii and sparse places few neighbours.
+   spot a first search radius: ``k + 1`` ids are known to lie within it.
+3. Each city is a tree of cells in the four axes of the score; a cell with more
+   than ``CELL_SPOTS`` spots is split into finer ones, so every leaf is small
+   wherever the city is dense.
+4. Every base goes down its city's tree. At each step the farthest corners of
+   the cells it still looks at may tighten its radius, and cells whose nearest
+   corner is beyond it are left out. What a sparse
+   base beside a dense place looks at is a few cells, not the place.
+5. The spots of the remaining leaves are ranked per base spot, then each listing
+   takes its spot's list without itself.
+
+A step is one equi-join on the cell and one window over the handful of cells of
+a base. The cell of a hot city is a skewed join key, which Spark splits.
 """
 
 from __future__ import annotations
@@ -39,9 +43,11 @@ from ..functions.listing import city_from_address
 from ..functions.numbers import distance_km
 from ..session import materialize
 
-LEVELS = 12  # finest grid cells are max_score / 2**LEVELS wide
+CELL_SPOTS = 48  # a cell with more spots is split
+STEP = 1  # a step of the tree halves each axis so often
+DEPTH = 26  # halvings at which splitting ends: cells are then max_score / 2**23 wide
 CURVE_BITS = 12  # per dimension
-CURVE_REACH = 24  # neighbours looked at on each side of the curve
+_ROOT = 3  # root cells are max_score * 2**3 wide
 _SLACK = 1e-9
 _SPOT = ("city", "price", "surface", "lat", "lon")
 _CELL = ("c_price", "c_surface", "c_lat", "c_lon")
@@ -64,6 +70,7 @@ def _points(listings: DataFrame) -> DataFrame:
     stored = "city" if "city" in listings.columns else "address"
     city = F.col("city") if stored == "city" else city_from_address(F.col("address"))
     known = listings.where(F.col(stored).isNotNull() & F.col("price").isNotNull() & F.col("surface").isNotNull())
+    known = known.where(~F.isnan(F.col("price").cast("double")) & ~F.isnan(F.col("surface").cast("double")))
     blind = F.col("lat").isNull() | F.col("lon").isNull()
     return known.select(
         "id", city.alias("city"), F.col("price").cast("double").alias("price"), F.col("surface").cast("double").alias("surface"),
@@ -120,7 +127,7 @@ def _with_curve(spots: DataFrame, max_score: float) -> DataFrame:
 def _radius_along_curve(keep: int, max_score: float):
     """Upper bound of the ``keep``-th smallest score, from the neighbours in curve order."""
     # Plain values, so that a worker needs numpy and pandas but not this package.
-    reach, price_weight, km_weight = CURVE_REACH, K.SIMILAR_PRICE_WEIGHT, K.SIMILAR_KM_WEIGHT
+    reach, price_weight, km_weight = 4 * keep, K.SIMILAR_PRICE_WEIGHT, K.SIMILAR_KM_WEIGHT
     per_lat, per_lon = K.KM_PER_LAT, K.KM_PER_LON
 
     def bound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,10 +150,7 @@ def _radius_along_curve(keep: int, max_score: float):
                     + np.nan_to_num(km, nan=0.0) * km_weight
                 )
                 scores[row, a] = np.where(city[a] == city[b], s, np.inf)
-            if 2 * reach + 1 > keep:
-                radius = np.partition(scores, keep - 1, axis=0)[keep - 1]
-            else:
-                radius = np.full(n, np.inf)
+            radius = np.partition(scores, keep - 1, axis=0)[keep - 1]
             yield pdf.assign(radius=np.minimum(radius, max_score))
 
     return bound
@@ -159,79 +163,98 @@ def _with_radius(spots: DataFrame, keep: int, max_score: float) -> DataFrame:
     return ordered.mapInPandas(_radius_along_curve(keep, max_score), schema)
 
 
-def _reach(radius: Column) -> Column:
-    return radius * (1 + _SLACK) + _SLACK
-
-
-def _level(radius: Column, max_score: float) -> Column:
-    """The grid level whose cells are between one and two radii wide."""
-    level = F.floor(F.log2(F.lit(max_score) / _reach(radius))).cast("int")
-    return F.greatest(F.lit(0), F.least(F.lit(LEVELS), level))
-
-
-def _probes(bases: DataFrame, max_score: float, any_blind: bool) -> DataFrame:
-    """The grid cells each base has to look into: (city, plane, level, cell) rows."""
-    b = bases.withColumn("_r", _reach(F.col("radius"))).withColumn("level", _level(F.col("radius"), max_score))
-    b = b.withColumn("_w", F.lit(max_score) / F.pow(F.lit(2.0), F.col("level")))
-    if any_blind:
-        # A base without coordinates is at distance 0 from everything, so it looks at
-        # the whole price x surface plane; a placed base also looks at the blind spots.
-        planes = F.when(F.col("lat").isNull(), F.array(F.lit("blind"), F.lit("flat"))).otherwise(
-            F.array(F.lit("placed"), F.lit("blind"))
-        )
-        b = b.withColumn("plane", F.explode(planes))
-    else:
-        b = b.withColumn("plane", F.lit("placed"))
-
-    def span(low: Column, high: Column) -> Column:
-        slack = F.col("_w") * 1e-6
-        return F.sequence(F.floor((low - slack) / F.col("_w")), F.floor((high + slack) / F.col("_w")))
-
-    p, s = F.col("price"), F.col("surface")
-    p_reach = F.greatest(p, F.lit(1.0)) * F.col("_r") / K.SIMILAR_PRICE_WEIGHT
-    s_reach = F.greatest(s, F.lit(1.0)) * F.col("_r")
-    w2 = K.SIMILAR_PRICE_WEIGHT
-    b = b.withColumn("c_price", F.explode(span(_relative_axis(p - p_reach) * w2, _relative_axis(p + p_reach) * w2)))
-    b = b.withColumn("c_surface", F.explode(span(_relative_axis(s - s_reach), _relative_axis(s + s_reach))))
-
-    def gap(value: Column, low: Column, high: Column) -> Column:
-        return F.greatest(F.lit(0.0), low - value, value - high)
-
-    def cell_gap(cell: str, value: Column, weight: float) -> Column:
-        low = _axis_value(F.col(cell) * F.col("_w") / weight)
-        high = _axis_value((F.col(cell) + 1) * F.col("_w") / weight)
-        return gap(value, low, high) * weight / F.greatest(value, F.lit(1.0))
-
-    near = cell_gap("c_price", p, w2) + cell_gap("c_surface", s, 1.0)
-    b = b.withColumn("_near", near).where(F.col("_near") <= F.col("_r") * (1 + 1e-6) + 1e-6)
-    placed = F.col("plane") == "placed"
-    for name, axis, unit in (("c_lat", "lat", _LAT_UNIT), ("c_lon", "lon", _LON_UNIT)):
-        at = F.col(axis) * unit
-        cells = F.when(placed, span(at - F.col("_r"), at + F.col("_r"))).otherwise(F.array(F.lit(0).cast("bigint")))
-        b = b.withColumn(name, F.explode(cells))
-    sides = [
-        gap(F.col(axis) * unit, F.col(cell) * F.col("_w"), (F.col(cell) + 1) * F.col("_w"))
-        for cell, axis, unit in (("c_lat", "lat", _LAT_UNIT), ("c_lon", "lon", _LON_UNIT))
-    ]
-    far = F.col("_near") + F.when(placed, F.sqrt(sides[0] * sides[0] + sides[1] * sides[1])).otherwise(F.lit(0.0))
-    return b.where(far <= F.col("_r") * (1 + 1e-6) + 1e-6).select(*_SPOT, "radius", "plane", "level", *_CELL)
+def _width(level: Column, max_score: float) -> Column:
+    return F.lit(max_score) * F.pow(F.lit(2.0), F.lit(_ROOT) - level)
 
 
-def _index(spots: DataFrame, max_score: float, levels: list[int], any_blind: bool) -> DataFrame:
-    """Every spot under its cell at the levels in use, in the planes where it is looked for."""
+def _planed(spots: DataFrame) -> DataFrame:
+    """Every spot in the planes where it is looked for: by place, among the placeless, or without regard to place."""
     planed = spots.withColumn("plane", F.when(F.col("lat").isNull(), "blind").otherwise("placed"))
-    if any_blind:
-        # Only cities with coordinate-less bases need the flat copy of the placed spots.
-        blind_cities = spots.where(F.col("lat").isNull()).select("city").distinct()
-        flat = planed.where(F.col("plane") == "placed").join(blind_cities, "city", "left_semi")
-        planed = planed.unionByName(flat.withColumn("plane", F.lit("flat")))
-    leveled = planed.withColumn("level", F.explode(F.array(*[F.lit(n) for n in levels])))
-    width = F.lit(max_score) / F.pow(F.lit(2.0), F.col("level"))
+    # A base without coordinates is at distance 0 from every place; only its city needs the flat copy.
+    blind_cities = spots.where(F.col("lat").isNull()).select("city").distinct()
+    flat = planed.where(F.col("plane") == "placed").join(blind_cities, "city", "left_semi")
+    return planed.unionByName(flat.withColumn("plane", F.lit("flat")))
+
+
+def _in_cells(planed: DataFrame, max_score: float) -> DataFrame:
+    """Every spot under its cell of every level. Cells are whole numbers kept as doubles, so no junk value overflows."""
+    leveled = planed.withColumn("level", F.explode(F.array(*[F.lit(n) for n in range(0, DEPTH + 1, STEP)])))
     axes = _positions(F.col("price"), F.col("surface"), F.col("lat"), F.col("lon"))
-    placed = F.col("plane") == "placed"
-    cells = [F.floor(x / width).alias(c) for x, c in zip(axes[:2], _CELL[:2])]
-    cells += [F.when(placed, F.floor(x / width)).otherwise(F.lit(0)).cast("bigint").alias(c) for x, c in zip(axes[2:], _CELL[2:])]
-    return leveled.select(*_SPOT, "ids", "plane", "level", *cells)
+    inside = F.col("plane") == "placed"
+    cells = [_floor(x / _width(F.col("level"), max_score)) for x in axes]
+    cells[2:] = [F.when(inside, c).otherwise(F.lit(0.0)) for c in cells[2:]]
+    return leveled.select(*planed.columns, "level", *[c.alias(name) for c, name in zip(cells, _CELL)])
+
+
+def _floor(x: Column) -> Column:
+    """Floor as a double, with one zero."""
+    return F.rint(x - F.pmod(x, F.lit(1.0))) + F.lit(0.0)
+
+
+def _tree(cells: DataFrame) -> DataFrame:
+    """(city, plane, level, cell, ids, leaf): the cells of all trees, with how many ids their spots keep.
+
+    A cell is there if the one above has too many spots; it is a leaf if it has few itself or is of the last level.
+    """
+    counted = materialize(cells.groupBy("city", "plane", "level", *_CELL).agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("ids")).alias("m")), "similar-cells")
+    full = counted.where((F.col("n") > CELL_SPOTS) & (F.col("level") < DEPTH))
+    above = full.select("city", "plane", (F.col("level") + STEP).alias("level"), *[F.col(c).alias(f"p{c}") for c in _CELL])
+    inner = counted.select("*", *[_floor(F.col(c) / 2**STEP).alias(f"p{c}") for c in _CELL])
+    below = inner.join(above, ["city", "plane", "level", *[f"p{c}" for c in _CELL]], "left_semi").drop(*[f"p{c}" for c in _CELL])
+    nodes = counted.where(F.col("level") == 0).unionByName(below)
+    leaf = (F.col("n") <= CELL_SPOTS) | (F.col("level") == DEPTH)
+    return nodes.select("city", "plane", "level", *_CELL, "m", leaf.alias("leaf"))
+
+
+def _reaches(max_score: float) -> tuple[Column, Column]:
+    """Lower and upper bound of the score between the base and anything in the cell of the same row."""
+    w = _width(F.col("level"), max_score)
+
+    def scaled(cell: str, value: str, weight: float) -> tuple[Column, Column]:
+        v = F.col(value)
+        low, high = _axis_value(F.col(cell) * w / weight), _axis_value((F.col(cell) + 1) * w / weight)
+        unit = weight / F.greatest(v, F.lit(1.0))
+        return F.greatest(F.lit(0.0), low - v, v - high) * unit, F.greatest(high - v, v - low) * unit
+
+    def placed(cell: str, axis: str, unit: float) -> tuple[Column, Column]:
+        at, low = F.col(axis) * unit, F.col(cell) * w
+        return F.greatest(F.lit(0.0), low - at, at - low - w), F.greatest(at - low, low + w - at)
+
+    price, surface = scaled("c_price", "price", K.SIMILAR_PRICE_WEIGHT), scaled("c_surface", "surface", 1.0)
+    lat, lon = placed("c_lat", "lat", _LAT_UNIT), placed("c_lon", "lon", _LON_UNIT)
+    inside = F.col("plane") == "placed"
+    away = [F.when(inside, F.sqrt(lat[i] * lat[i] + lon[i] * lon[i])).otherwise(F.lit(0.0)) for i in (0, 1)]
+    return (price[0] + surface[0] + away[0]) * (1 - 1e-9) - 1e-9, (price[1] + surface[1] + away[1]) * (1 + 1e-9) + 1e-9
+
+
+def _narrowed(seen: DataFrame, keep: int, max_score: float) -> DataFrame:
+    """The cells of a base that can hold one of its nearest: those that start within the radius that ``keep`` ids fill."""
+    low, high = _reaches(max_score)
+    bounded = seen.withColumn("low", low).withColumn("high", high).where(F.col("low") <= F.col("radius"))
+    nearest_first = Window.partitionBy("spot").orderBy("high").rowsBetween(Window.unboundedPreceding, 0)
+    enough = bounded.withColumn("filled", F.sum("m").over(nearest_first) >= keep)
+    radius = F.least(F.col("radius"), F.min(F.when(F.col("filled"), F.col("high"))).over(Window.partitionBy("spot")))
+    return enough.withColumn("radius", radius).where(F.col("low") <= F.col("radius")).drop("low", "high", "filled")
+
+
+def cells_to_search(bases: DataFrame, nodes: DataFrame, keep: int, max_score: float) -> DataFrame:
+    """(base spot, radius, leaf cell, m): the leaves that each base has to look into."""
+    planes = F.when(F.col("lat").isNull(), F.array(F.lit("blind"), F.lit("flat"))).otherwise(F.array(F.lit("placed"), F.lit("blind")))
+    asked = bases.select(*_SPOT, F.element_at("ids", 1).alias("spot"), (F.col("radius") * (1 + 1e-9) + 1e-9).alias("radius"), F.explode(planes).alias("plane"))
+    seen = asked.join(nodes.where("level = 0").drop("leaf"), ["city", "plane"])
+    seen = _narrowed(seen, keep, max_score)
+    depth = nodes.agg(F.max("level")).first()[0] or 0
+    for level in range(STEP, depth + 1, STEP):
+        finer = nodes.where(F.col("level") == level).select(
+            "city", "plane", *[_floor(F.col(c) / 2**STEP).alias(c) for c in _CELL], F.lit(level - STEP).alias("level"),
+            F.struct(*[F.col(c) for c in _CELL], "m").alias("finer"))
+        joined = seen.join(finer, ["city", "plane", "level", *_CELL], "left")
+        split = F.col("finer").isNotNull()
+        cells = [F.when(split, F.col(f"finer.{c}")).otherwise(F.col(c)).alias(c) for c in (*_CELL, "m")]
+        seen = _narrowed(joined.select(*_SPOT, "spot", "radius", "plane", F.when(split, F.lit(level)).otherwise(F.col("level")).alias("level"), *cells), keep, max_score)
+        if level % (3 * STEP) == 0:
+            seen = materialize(seen, "similar-search")
+    return seen
 
 
 def _same_spot(a: str, b: str) -> Column:
@@ -251,20 +274,19 @@ def topk_similar(
     keep = k + 1
     points = _points(listings)
     asked = points if bases is None else points.join(bases.select("id"), "id", "left_semi")
-    # Both sides of the search read the spots: they are written once, not computed twice.
+    # The tree and both sides of the search read the spots: they are written once, not computed again.
     spots = materialize(_with_radius(_spots(points, keep), keep, max_score), "similar-spots")
-    used = spots.select(_level(F.col("radius"), max_score).alias("level"), F.col("lat").isNull().alias("blind"))
-    used = used.distinct().collect()  # at most 2 * (LEVELS + 1) rows
-    levels, any_blind = sorted({u.level for u in used}), any(u.blind for u in used)
     searched = spots
     if bases is not None:
         wanted = asked.select(*_SPOT).distinct()
         searched = searched.alias("s").join(wanted.alias("w"), _same_spot("s", "w"), "left_semi")
-    probes = _probes(searched, max_score, any_blind).alias("a")
-    index = _index(spots, max_score, levels or [0], any_blind).alias("b")
+    cells = _in_cells(_planed(spots), max_score)
+    nodes = materialize(_tree(cells), "similar-tree")
+    look = cells_to_search(searched, nodes, keep, max_score).alias("a")
     keys = ("city", "plane", "level", *_CELL)
+    leaves = cells.join(nodes.where("leaf").select(*keys), list(keys), "left_semi").alias("b")
     on = reduce(lambda x, y: x & y, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in keys])
-    found = probes.join(index, on).select(
+    found = look.join(leaves, on).select(
         *[F.col(f"a.{c}").alias(c) for c in _SPOT], F.col("a.radius").alias("radius"),
         F.col("b.ids").alias("ids"), score_expr("a", "b").alias("score"),
     )

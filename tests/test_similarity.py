@@ -75,3 +75,35 @@ def test_no_full_pairs_and_no_cartesian(spark, capsys):
     S.topk_similar(skewed(spark, 60)).explain()
     plan = capsys.readouterr().out
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def looked_at(df, k=6, max_score=1.2):
+    """Ids in the leaves that each base searches, by id of the base spot."""
+    spots = S.materialize(S._with_radius(S._spots(S._points(df), k + 1), k + 1, max_score), "test-spots")
+    nodes = S.materialize(S._tree(S._in_cells(S._planed(spots), max_score)), "test-tree")
+    look = S.cells_to_search(spots, nodes, k + 1, max_score)
+    return {r.spot: (r.m, r.cells) for r in look.groupBy("spot").agg(F.sum("m").alias("m"), F.count("*").alias("cells")).collect()}
+
+
+def test_work_per_listing_grows_slower_than_the_city(spark):
+    most = {}
+    for n in (2000, 8000):
+        rng = random.Random(1)
+        rows = [(f"d{i:06d}", "paris", rng.gauss(1000, 20), rng.gauss(50, 1), 48.85 + rng.gauss(0, 0.01), 2.35 + rng.gauss(0, 0.01)) for i in range(n)]
+        rows += [(f"s{i:06d}", "paris", rng.uniform(1200, 2500), rng.uniform(60, 110), 48.85 + rng.gauss(0, 0.2), 2.35) for i in range(50)]
+        seen = looked_at(spark.createDataFrame(rows, SCHEMA))
+        most[n] = max(m for m, _ in seen.values())
+        assert max(m for spot, (m, _) in seen.items() if spot.startswith("s")) < n / 2
+    assert most[8000] < 2 * most[2000]
+
+
+def test_junk_values_make_few_probes(spark):
+    rng = random.Random(2)
+    rows = [(f"d{i:06d}", "paris", rng.gauss(1000, 20), rng.gauss(50, 1), 48.85, 2.35) for i in range(500)]
+    junk = [("j1", "paris", 1000.0, 1e9, 48.85, 2.35), ("j2", "paris", 1e12, 50.0, 48.85, 2.35), ("j3", "paris", -1e9, 50.0, 48.85, 2.35),
+            ("j4", "paris", 1000.0, 50.0, 4000.0, -9000.0), ("j5", "paris", float("nan"), 50.0, 48.85, 2.35)]
+    df = spark.createDataFrame(rows + junk, SCHEMA)
+    seen = looked_at(df)
+    assert max(cells for spot, (_, cells) in seen.items() if spot.startswith("j")) <= max(cells for _, cells in seen.values())
+    placed = df.where("id <> 'j5'")
+    assert as_dict(S.topk_similar(df)) == as_dict(brute(placed, 6, 1.2))

@@ -49,7 +49,7 @@ def _strict(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
         return value
     if isinstance(kind, T.DoubleType):
-        return F.coalesce(value.try_cast("double"), parse_number_fr(value))
+        return F.coalesce(value.try_cast("double"), F.when(~value.rlike(r"^\s*[\[{]"), parse_number_fr(value)))
     if isinstance(kind, T.ArrayType):
         return F.from_json(value, kind.simpleString())
     return value.try_cast(kind)

@@ -74,6 +74,55 @@ QUERIES = {
     "op10_neighbours": op10_neighbours,
 }
 
-_WORDS = f"len(regexp_extract_all(coalesce(text, ''), '{WORD}'))"
-
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = f"regexp_extract_all(coalesce(text, ''), '{WORD}')"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+_LEDGER = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines FROM documents),
+ windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+ marked AS (SELECT doc_id, count(DISTINCT i) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS i FROM windows WHERE n > 1) GROUP BY doc_id),
+ m AS (SELECT d.doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+  length(t) - length(regexp_replace(t, '[{quality.SYMBOLS}]', '', 'g')) AS n_symbols, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+  coalesce(marked.n, 0) AS n_repeat_words, length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper FROM d LEFT JOIN marked ON marked.doc_id = d.doc_id)"""
+_BITS = " + ".join(f"CASE WHEN {condition} THEN {quality.bit(rule)} ELSE 0 END" for rule, condition in quality.RULES.items())
+
+_SHINGLES = f"""s AS (SELECT doc_id, w, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
+   ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i : i + 2])) END AS grams
+  FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{WORD}') AS w FROM documents)),
+ g AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM s),
+ links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+ edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+ reach(a, b) AS (SELECT a, b FROM edges UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a)"""
+
+_BLANKS = "[\\x20\\x09-\\x0D]+"
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": f"""{_LEDGER}, f AS (SELECT *, {_BITS} AS bits FROM m)
+ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, bits & {quality.mask("base")} <> 0 AS base_failed,
+  bits & {quality.mask("2025") | quality.mask("base")} = 0 AS kept, CAST(bits AS BIGINT) AS fail_bits FROM f""",
+    "op3_near_duplicates": f"""WITH RECURSIVE {_SHINGLES}, low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+ SELECT s.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(low.b, s.doc_id)) AS component_id,
+  s.doc_id <= coalesce(low.b, s.doc_id) AS kept FROM s LEFT JOIN low ON low.a = s.doc_id""",
+    "op4_line_dedup": f"""WITH l AS (SELECT doc_id, line, i, regexp_replace(line, '^{_BLANKS}|{_BLANKS}$', '', 'g') AS plain FROM
+   (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
+ runs AS (SELECT doc_id, i, lead(i) OVER o AS i2, lead(i, 2) OVER o AS i3, plain AS a, lead(plain) OVER o AS b, lead(plain, 2) OVER o AS c FROM l
+  WHERE plain <> '' WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+ ranked AS (SELECT *, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, i) AS rn FROM runs WHERE c IS NOT NULL),
+ gone AS (SELECT DISTINCT doc_id, unnest([i, i2, i3]) AS i FROM ranked WHERE rn > 1),
+ kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM l ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+ SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS kept_text,
+  length(d.text) - length(CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END) AS removed_chars FROM documents d LEFT JOIN kept k USING (doc_id)""",
+    "op7_mixing": f"""WITH s AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size FROM documents),
+ src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM s GROUP BY source),
+ w AS (SELECT *, place % 3 + 1e0 AS weight, 3e0 * source_size AS ceiling, 3e0 * source_size / (place % 3 + 1e0) AS ratio FROM src),
+ v AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(ceiling) OVER o, 0e0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0e0)) >= ratio AS stops
+  FROM w WINDOW o AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+ t AS (SELECT *, CASE WHEN stops THEN ceiling ELSE (sum(source_size) OVER () - coalesce(sum(CASE WHEN stops THEN ceiling END) OVER (), 0e0))
+   / sum(CASE WHEN NOT stops THEN weight END) OVER () * weight END AS target FROM v),
+ q AS (SELECT doc_id, source, size, CAST(sum(size) OVER (PARTITION BY source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), doc_id NULLS LAST, size
+   ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS start FROM s)
+ SELECT doc_id, size, source_size, target, CAST(greatest(0, least(size, floor(target) - start)) + greatest(0, least(size, floor(target) - source_size - start))
+  + greatest(0, least(size, floor(target) - 2 * source_size - start)) AS BIGINT) AS taken FROM q JOIN t ON q.source IS NOT DISTINCT FROM t.source""",
+}

@@ -52,7 +52,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-# No stage but mixing can be said in SQL: classifiers, winnowing, sketches and packing are tested by brute force.
+# Language ID and packing cannot be said in SQL; the stages are tested by brute force.
 ORACLE_SQL = None
 
 

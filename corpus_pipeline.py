@@ -17,10 +17,8 @@ from terroir.session import materialize
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known: no ``und`` and no ambiguous ones. Learns from the labelled rows of ``docs``."""
-    model = language.fit(language.learnable(docs))
     # Only what three languages or more could be goes; a text in two languages stays.
-    found = language.identify(docs, model, keep=tuple(docs.columns), ambiguous_below=0.4)
-    return found.where(~F.col("ambiguous")).select(*docs.columns)
+    return language.known_language(docs, language.fit(language.learnable(docs)), ambiguous_below=0.4)
 
 
 def _measured(docs: DataFrame) -> DataFrame:

@@ -195,6 +195,20 @@ def identify(docs: DataFrame, model: CodeModel, text: str = "text", ambiguous_be
     return source.mapInArrow(predict, schema)
 
 
+def known_language(docs: DataFrame, model: CodeModel, text: str = "text", ambiguous_below: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose language is known: neither ``und`` nor ambiguous."""
+    columns = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, text, 256 << 10, 256):
+            texts = batch.column(columns.index(text))
+            best, score = decode(model, ngram_counts(texts, model.buckets))
+            lettered = np.array([_has_letter(t) for t in texts.to_pylist()], bool)
+            yield batch.filter(pa.array(lettered & (best >= 0) & (score >= ambiguous_below)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: str = "doc_id"):
     """Documents kept away from learning: crc32 of the id as text, modulo 5, is 0. Null ids are not held out."""
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(5)) == 0, F.lit(False))

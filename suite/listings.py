@@ -190,6 +190,21 @@ def _(spark, sf):
     return L.paginate(chosen, ["price", "id"], limit, offset).select("id", "price", "total")
 
 
+# Walks four pages by the last row of each: together they are the first rows in order.
+@case("paginate_after", "SELECT id, price FROM listings WHERE price >= 900 ORDER BY price, id LIMIT 200")
+def _(spark, sf):
+    chosen = L.filter_listings(view(spark, sf, "listings"), L.ListingFilter(min_price=900)).select("id", "price")
+    pages, last = [], None
+    for _ in range(4):
+        pages.append(L.page_after(chosen, ["price", "id"], last, 50))
+        end = pages[-1].agg(F.max(F.struct("price", "id")).alias("end")).first()["end"]
+        last = [end["price"], end["id"]] if end else last
+    out = pages[0]
+    for page in pages[1:]:
+        out = out.union(page)
+    return out
+
+
 @case("price_per_m2", """SELECT url, CASE WHEN surface > 0 THEN round(price / surface, 6) END AS price_m2,
  CASE WHEN surface > 0 THEN CAST(floor(price / surface + 0.5) AS BIGINT) END AS price_m2_display FROM raw_listings""")
 def _(spark, sf):

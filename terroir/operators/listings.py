@@ -252,6 +252,19 @@ def paginate(listings: DataFrame, order: Sequence[str], limit: int | None, offse
     return page.withColumn("total", total)
 
 
+def page_after(listings: DataFrame, order: Sequence[str], last: Sequence[object] | None, limit: int) -> DataFrame:
+    """The next ``limit`` rows after the row whose order values are ``last`` (None for the first page).
+
+    No offset is counted through: every page, however deep, is a top-k of ``limit`` rows per task over what lies behind
+    ``last``. ``order`` has to end with a unique column; its values are not null.
+    """
+    behind = F.lit(last is None)
+    same = F.lit(True)
+    for name, value in zip(order, last or ()):
+        behind, same = behind | (same & (F.col(name) > F.lit(value))), same & (F.col(name) == F.lit(value))
+    return listings.where(behind).orderBy(*order).limit(limit)
+
+
 # --- comparison ------------------------------------------------------------
 
 def with_price_per_m2(listings: DataFrame) -> DataFrame:

@@ -103,13 +103,28 @@ def sentiment_documents(
     chars: int = K.MIN_REVIEW_CHARS,
     n: int = K.TOP_TERMS,
 ) -> DataFrame:
-    """One document per (insee_code, city_name, year) from rows with ``review_text``."""
+    """One document per (insee_code, city_name, year) from rows with ``review_text``.
+
+    The texts are read once: every row gives its terms and, as a row without term, its score. A group's scores and
+    the counts of each of its terms are combined before the shuffle; then its ``n`` most frequent terms stay.
+    """
     keys = ["insee_code", "city_name", "year"]
-    kept = min_text(reviews, chars=chars)
-    scores = sentiment_by_year(with_score(kept, score=score), keys[:2])
-    return scores.join(top_terms(kept, keys, n=n), keys, "left").select(
-        F.lit("city").alias("level"), *keys, F.lit(language).alias("language"), "sentiment_avg", "sentiment_count",
-        F.coalesce("top_terms", F.array().cast("array<struct<term:string,freq:bigint>>")).alias("top_terms"),
+    kept = with_score(min_text(reviews, chars=chars), score=score)
+    words = F.filter(F.regexp_extract_all(F.lower("review_text"), F.lit(K.TOKEN_PATTERN), 0), lambda w: ~w.isin(*K.STOPWORDS))
+    each = F.explode(F.concat(
+        F.array(F.struct(F.lit(None).cast("string").alias("term"), F.col("score").alias("score"))),
+        F.transform(words, lambda w: F.struct(w.alias("term"), F.lit(None).cast("double").alias("score"))),
+    ))
+    counts = kept.select(*keys, each.alias("e")).groupBy(*keys, F.col("e.term").alias("term")).agg(
+        F.count(F.lit(1)).alias("freq"), F.avg("e.score").alias("sentiment_avg"), F.count("e.score").alias("sentiment_count"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("term").isNull().desc(), F.col("freq").desc(), "term"))
+    ranked = counts.withColumn("rank", rank).where(F.col("rank") <= n + 1)  # the row without term is the first
+    entries = F.sort_array(F.collect_list(F.when(F.col("term").isNotNull(), F.struct("rank", "term", "freq"))))
+    documents = ranked.groupBy(*keys).agg(
+        F.max("sentiment_avg").alias("sentiment_avg"), F.max("sentiment_count").alias("sentiment_count"),
+        F.transform(entries, lambda e: F.struct(e["term"].alias("term"), e["freq"].alias("freq"))).alias("top_terms"))
+    return documents.select(
+        F.lit("city").alias("level"), *keys, F.lit(language).alias("language"), "sentiment_avg", "sentiment_count", "top_terms",
         F.lit(K.REVIEW_SOURCE).alias("source"), F.lit(mode).alias("nlp_mode"),
         F.current_timestamp().alias("updated_at"),
     )

@@ -114,7 +114,11 @@ def unpivot_years(
     )
 
 
-def region_lookup(df: DataFrame, department: str, regions: Mapping[str, str] | None = None) -> DataFrame:
+def region_lookup(df: DataFrame, department: str, regions: Mapping[str, str] | DataFrame | None = None) -> DataFrame:
+    """Add the region: from a mapping, which becomes a literal of the plan, or from a table (department, region), by a join."""
+    if isinstance(regions, DataFrame):
+        table = regions.select(F.col("department").alias("_department"), F.col("region").alias("region_insee_code"))
+        return df.join(table, F.col(department) == F.col("_department"), "left").drop("_department")
     return df.withColumn("region_insee_code", C.region_from_department(F.col(department), regions))
 
 

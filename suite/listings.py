@@ -110,6 +110,15 @@ def _flat(df):
     })
 
 
+@case("geocode_by_table", f"WITH {GEO} SELECT url, round(lat, 6) AS lat, round(lon, 6) AS lon FROM geo")
+def _(spark, sf):
+    from terroir.functions import constants as K
+
+    rows = [(key, lat, lon, place) for place, (key, lat, lon, _) in enumerate(K.CENTROIDS)]
+    df = L.geocode_by_table(raw_listings(spark, sf), spark.createDataFrame(rows, "key string, lat double, lon double, place int"))
+    return df.select("url", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
+
+
 @case("listing_normalize", f"WITH {NORMALIZED} SELECT {_FIELDS} FROM normalized WHERE reject_reason IS NULL")
 def _(spark, sf):
     valid, _ = L.split_rejects(L.normalize_listings(raw_listings(spark, sf)))

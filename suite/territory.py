@@ -124,6 +124,16 @@ def _(spark, sf):
     return T.region_lookup(counted, "department")
 
 
+@case("region_lookup_table", f"""SELECT department, {region_case('department')} AS region_insee_code, count(*) AS n FROM
+ (SELECT {_DEP} AS department FROM (SELECT upper(trim(postalCode)) AS c FROM raw_listings)) GROUP BY department""")
+def _(spark, sf):
+    from terroir.functions import constants as K
+
+    df = view(spark, sf, "raw_listings").select(C.department_from_commune(F.col("postalCode")).alias("department"))
+    table = spark.createDataFrame(list(K.DEPARTMENT_TO_REGION.items()), "department string, region string")
+    return T.region_lookup(df.groupBy("department").agg(F.count(F.lit(1)).alias("n")), "department", table)
+
+
 @case("filter_fact_slice", f"{FACTS} FROM prices WHERE level = 'city' AND year = 1998 AND property_type = 'apartments'")
 def _(spark, sf):
     return T.fact_slice(view(spark, sf, "prices"), "city", 1998, "apartments")

@@ -102,12 +102,8 @@ def _city_centroid(city: Column, centroids: Sequence[Centroid]) -> Column:
 
 def insee_coordinates(insee: Column, centroids: Sequence[Centroid] = K.CENTROIDS) -> Column:
     """Deterministic approximate place of any code: near its department centroid, else hashed."""
-    base = _by_key(centroids, F.concat(F.lit("dept-"), department_from_insee(insee)))
-    h = rolling_hash(insee)
-    lat = F.coalesce(base["lat"], F.lit(42.2) + F.abs(h) % 850 / F.lit(100.0))
-    lon = F.coalesce(base["lon"], F.lit(-4.8) + F.abs(F.shiftright(h, 8)) % 1000 / F.lit(100.0))
-    lat, lon = jitter(lat, lon, insee)
-    return F.when(insee.isNotNull(), F.struct(F.lit("insee").alias("key"), lat.alias("lat"), lon.alias("lon")))
+    place = insee_place(insee, _by_key(centroids, F.concat(F.lit("dept-"), department_from_insee(insee))))
+    return F.when(place.isNotNull(), F.struct(F.lit("insee").alias("key"), place["lat"].alias("lat"), place["lon"].alias("lon")))
 
 
 def geocode_city(city: Column, postal_code: Column, centroids: Sequence[Centroid] = K.CENTROIDS) -> Column:
@@ -125,6 +121,15 @@ def geocode_city(city: Column, postal_code: Column, centroids: Sequence[Centroid
     )
 
 
+def insee_place(insee: Column, base: Column) -> Column:
+    """Deterministic approximate place of a code: near ``base`` (lat, lon) if that is known, else hashed."""
+    h = rolling_hash(insee)
+    lat = F.coalesce(base["lat"], F.lit(42.2) + F.abs(h) % 850 / F.lit(100.0))
+    lon = F.coalesce(base["lon"], F.lit(-4.8) + F.abs(F.shiftright(h, 8)) % 1000 / F.lit(100.0))
+    lat, lon = jitter(lat, lon, insee)
+    return F.when(insee.isNotNull(), F.struct(lat.alias("lat"), lon.alias("lon")))
+
+
 __all__ = [
     "blank_to_null", "build_address", "canonical_source", "city_from_address", "derive_tags",
     "detect_type", "energy_grade", "geocode_city", "insee_coordinates", "stable_id", "strip",

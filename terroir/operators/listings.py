@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import listing as L
+from ..functions.codes import department_from_insee
 from ..functions.numbers import jitter_offsets, parse_number_fr, price_per_m2, rolling_hash
+from ..functions.text import fold_accents
 
 LISTING_COLUMNS = (
     "id", "title", "address", "price", "rooms", "surface", "floor", "tags",
@@ -33,6 +35,46 @@ def geocode_fallback(raw: DataFrame, centroids: Sequence[L.Centroid] = K.CENTROI
     )
 
 
+def _substrings(text: Column) -> Column:
+    """All stretches of a short text, once each."""
+    starts = F.sequence(F.lit(1), F.length(text))
+    return F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(
+        F.sequence(F.lit(1), F.length(text) - i + 1), lambda n: F.substr(text, i, n)))))
+
+
+def geocode_by_table(raw: DataFrame, centroids: DataFrame) -> DataFrame:
+    """``geocode_fallback`` with a table of centroids (key, lat, lon, place): any number of places, found by joins.
+
+    ``place`` is a centroid's rank, as a name may hold several keys: the first one that is in the name, or that holds
+    it, counts, after one that is equal. Only distinct city names meet the keys, by their stretches of letters. Keys
+    that start with ``dept-`` are departments.
+    """
+    cities = raw.select(fold_accents(F.col("city")).alias("_name")).where("_name <> ''").distinct()
+    keys = centroids.where(~F.col("key").startswith("dept-")).select("key", "place", "lat", "lon")
+    inside = cities.select("_name", F.explode(_substrings(F.col("_name"))).alias("key")).join(keys, "key")
+    around = keys.withColumn("_name", F.explode(_substrings(F.col("key")))).join(cities, "_name").select("key", "_name", "place", "lat", "lon")
+    best = inside.select("key", "_name", "place", "lat", "lon").union(around).groupBy("_name").agg(
+        F.min(F.struct((F.col("key") != F.col("_name")).alias("other"), "place", "lat", "lon")).alias("_city"))
+    departments = centroids.where(F.col("key").startswith("dept-")).select("key", F.struct("lat", "lon").alias("at"))
+    missing = F.col("lat").isNull() | F.col("lon").isNull()
+    insee = F.when(F.col("postalCode").rlike("^[0-9]{5}$"), F.col("postalCode"))
+    staged = raw.withColumns({
+        "_name": fold_accents(F.col("city")), "_long": F.concat(F.lit("dept-"), department_from_insee(insee)),
+        "_short": F.when(F.length("postalCode") >= 2, F.concat(F.lit("dept-"), F.substring("postalCode", 1, 2)))})
+    staged = staged.join(best, "_name", "left")
+    for name in ("_long", "_short"):
+        side = departments.select(F.col("key").alias(name), F.col("at").alias(f"{name}_at"))
+        staged = staged.join(side, name, "left")
+    near = F.coalesce(
+        F.when(F.col("_city").isNotNull(), F.struct(F.col("_city.lat").alias("lat"), F.col("_city.lon").alias("lon"))),
+        L.insee_place(insee, F.col("_long_at")), F.col("_short_at"))
+    placed = staged.withColumn("_place", F.when(missing, near)).withColumn("_hash", F.when(F.col("_place").isNotNull(), rolling_hash(F.col("url"))))
+    dx, dy = jitter_offsets(F.col("_hash"))
+    moved = placed.withColumn("lat", F.when(F.col("_place").isNotNull(), F.col("_place.lat") + dx).otherwise(F.col("lat")))
+    moved = moved.withColumn("lon", F.when(F.col("_place").isNotNull(), F.col("_place.lon") + dy).otherwise(F.col("lon")))
+    return moved.select(*raw.columns)
+
+
 def _invalid(value: Column) -> Column:
     return value.isNull() | (value <= 0)
 

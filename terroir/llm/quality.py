@@ -12,8 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD
-
 SYMBOLS = "#*$%&|<>"
 
 # Rules in the order of their bits: a rule never changes its bit, new ones are appended.

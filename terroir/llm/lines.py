@@ -123,7 +123,7 @@ def drop_repeated_lines(docs: DataFrame, run: int = 3, id_col: str = "doc_id", t
     joined = joined.select(*[F.col(c) for c in columns], "lines_removed__")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, text, 4 << 20):
             at, mark = batch.schema.get_field_index(text), batch.schema.get_field_index("lines_removed__")
             arrays = [batch.column(k) for k in range(batch.num_columns) if k != mark]
             removed_lists = batch.column(mark)

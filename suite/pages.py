@@ -69,23 +69,32 @@ def made_pages(spark, sf):
     return spark.sql(MADE_PAGES)
 
 
+def _layers_seen(pages):
+    return P.extract_layers(pages).select(
+        "page_id", F.col("og.title").alias("title"), F.col("state").isNotNull().alias("has_state"),
+        F.coalesce(F.col("jsonld.title").isNotNull(), F.lit(False)).alias("has_jsonld"),
+    )
+
+
 @case("merge_first_non_null", EXTRACTED)
 def _(spark, sf):
     df = P.merge_first_non_null(P.extract_layers(made_pages(spark, sf)))
     return df.withColumn("photos", F.concat_ws(",", "photos")).select(*_COLUMNS)
 
 
-@case("page_extract_layers", r"""SELECT CAST(p_partkey AS BIGINT) + 1000000000 AS page_id, nullif(CASE WHEN p_size % 5 = 3 THEN concat('Maison T', CAST(p_size % 9 AS STRING), ' ',
+@case("page_extract_layers_made", r"""SELECT CAST(p_partkey AS BIGINT) + 1000000000 AS page_id, nullif(CASE WHEN p_size % 5 = 3 THEN concat('Maison T', CAST(p_size % 9 AS STRING), ' ',
   CAST(p_size AS STRING), ' m² 1 ', CAST(100 + p_partkey % 900 AS STRING), ' € Lyon (69001)') ELSE '' END, '') AS title,
-  p_size % 5 IN (0, 4) AS has_state, p_size % 5 = 2 AS has_jsonld FROM part UNION ALL SELECT page_id, nullif(trim(replace(replace(replace(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1),
-  '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')), '') AS title, false AS has_state, false AS has_jsonld FROM pages""")
+  p_size % 5 IN (0, 4) AS has_state, p_size % 5 = 2 AS has_jsonld FROM part""")
 def _(spark, sf):
     made = made_pages(spark, sf).select((F.col("p_partkey").cast("bigint") + 1000000000).alias("page_id"), "url", "html")
-    layers = P.extract_layers(table(spark, sf, "pages").unionByName(made))
-    return layers.select(
-        "page_id", F.col("og.title").alias("title"), F.col("state").isNotNull().alias("has_state"),
-        F.coalesce(F.col("jsonld.title").isNotNull(), F.lit(False)).alias("has_jsonld"),
-    )
+    return _layers_seen(made)
+
+
+# The given pages hold neither state nor schema blocks; the made ones above do.
+@case("page_extract_layers", r"""SELECT page_id, nullif(trim(replace(replace(replace(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1),
+  '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')), '') AS title, false AS has_state, false AS has_jsonld FROM pages""")
+def _(spark, sf):
+    return _layers_seen(table(spark, sf, "pages"))
 
 
 

@@ -251,8 +251,10 @@ def cells_to_search(bases: DataFrame, nodes: DataFrame, keep: int, max_score: fl
         joined = seen.join(finer, ["city", "plane", "level", *_CELL], "left")
         split = F.col("finer").isNotNull()
         cells = [F.when(split, F.col(f"finer.{c}")).otherwise(F.col(c)).alias(c) for c in (*_CELL, "m")]
-        seen = _narrowed(joined.select(*_SPOT, "spot", "radius", "plane", F.when(split, F.lit(level)).otherwise(F.col("level")).alias("level"), *cells), keep, max_score)
-        if level % (3 * STEP) == 0:
+        seen = joined.select(*_SPOT, "spot", "radius", "plane", F.when(split, F.lit(level)).otherwise(F.col("level")).alias("level"), *cells)
+        # Every other step only drops what lies beyond the radius known so far, which needs no window.
+        seen = _narrowed(seen, keep, max_score) if level % (2 * STEP) == 0 or level == depth else seen.where(_reaches(max_score)[0] <= F.col("radius"))
+        if level % (4 * STEP) == 0:
             seen = materialize(seen, "similar-search")
     return seen
 

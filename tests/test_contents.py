@@ -15,6 +15,7 @@ CONSTANT = {
     "unpivot_property_types": {"year"}, "filter_fact_slice": {"level", "property_type", "year"}, "join_left_demographics": {"year"},
     **{name: {"level"} for name in ("filter_code_prefixes", "sample_territories", "rollup_department", "rollup_region", "rollup_prices_by_digit",
                                     "rollup_demographics", "agg_population_weighted_age", "prices_or_rollup", "semi_join_codes")},
+    "page_extract_layers": {"has_state", "has_jsonld"},
     "stream_ingestion_event": {"event", "scale", "dvf_rows", "insee_rows"},
 }
 

@@ -43,7 +43,7 @@ from ..functions.listing import city_from_address
 from ..functions.numbers import distance_km
 from ..session import materialize
 
-CELL_SPOTS = 48  # a cell with more spots is split
+CELL_SPOTS = 64  # a cell with more spots is split
 STEP = 1  # a step of the tree halves each axis so often
 DEPTH = 26  # halvings at which splitting ends: cells are then max_score / 2**23 wide
 CURVE_BITS = 12  # per dimension

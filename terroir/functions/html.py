@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -21,7 +22,8 @@ def _letter(ref: Column) -> Column:
     point = digits.try_cast("bigint")
     valid = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
     letter = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, point).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
-    named = F.try_element_at(F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair]), name)
+    # One constant of the plan, not an expression per entry.
+    named = F.try_element_at(F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>"), name)
     return F.when(name.startswith("#"), letter).otherwise(F.coalesce(named, ref))
 
 

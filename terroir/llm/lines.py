@@ -3,6 +3,7 @@
 Of every window of ``run`` consecutive lines the one with the smallest hash is its fingerprint, so two equal runs of
 that length always share one. Positions of a fingerprint that occurs more than once are joined, and a match is
 extended both ways over the windows around it. Lines of a run whose first occurrence is elsewhere are deleted.
+With ``passage`` shorter windows are taken as well where they hold so many words, and whole texts of fewer lines.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from terroir.session import materialize
 
-from .common import _GAP, Hasher, bytes_of, mix, small_batches
+from .common import _GAP, Hasher, bytes_of, mix, small_batches, word_ranges
 
 # Two independent hashes make a key of 128 bits.
 _SEEDS = (401, 402)
@@ -46,38 +47,48 @@ def line_ranges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return first, last, np.searchsorted(owner[full], np.arange(len(offsets))), number[full]
 
 
-def _fingerprints(text_column: pa.Array, run: int, hashers: tuple[Hasher, Hasher]) -> Iterator[list[tuple]]:
+def _fingerprints(text_column: pa.Array, run: int, hashers: tuple[Hasher, Hasher], passage: int | None = None) -> Iterator[list[tuple]]:
     """Per text its fingerprints: (hash, windows that chose it as (key, key, numbers of their lines))."""
     data, offsets = bytes_of(text_column)
     starts, ends, first, number = line_ranges(data, offsets)
     one, two = (h.ranges(data, starts, ends) for h in hashers)
+    if passage is not None:
+        begins = word_ranges(data, offsets)[0]
+        # Words up to each line, from the first of the batch on; lines without a word hold none.
+        words = np.append(0, np.cumsum(np.searchsorted(begins, ends) - np.searchsorted(begins, starts)))
     for a, b in zip(first[:-1], first[1:], strict=True):
-        n = b - a - run + 1
-        if n <= 0:
-            yield []
-            continue
-        windows = np.lib.stride_tricks.sliding_window_view(one[a:b], run)
-        chosen = windows.argmin(1) + np.arange(n)
-        keys = []
-        for lines in (windows, np.lib.stride_tricks.sliding_window_view(two[a:b], run)):
-            key = np.zeros(n, np.uint64)
-            for k in range(run):
-                key = mix(key + lines[:, k])
-            keys.append(key.view(np.int64).tolist())
-        places = np.lib.stride_tricks.sliding_window_view(number[a:b], run)
-        marks = one[a:b].view(np.int64)
-        begin = np.flatnonzero(np.diff(chosen, prepend=-1))
         found = []
-        for s, e in zip(begin, np.append(begin[1:], n), strict=True):
-            found.append((int(marks[chosen[s]]), [{"k1": keys[0][w], "k2": keys[1][w], "at": places[w].tolist()} for w in range(s, e)]))
+        for width in range(run if passage is None else 1, run + 1):
+            n = b - a - width + 1
+            if n <= 0:
+                continue
+            windows = np.lib.stride_tricks.sliding_window_view(one[a:b], width)
+            chosen = windows.argmin(1) + np.arange(n)
+            # All windows of a run; of shorter ones those with words enough, and the one that is the whole text.
+            held = np.arange(n) if width == run or n == 1 else np.flatnonzero(words[a + width : b + 1] - words[a : b - width + 1] >= passage)
+            if not len(held):
+                continue
+            keys = []
+            for lines in (windows, np.lib.stride_tricks.sliding_window_view(two[a:b], width)):
+                key = np.zeros(n, np.uint64)
+                for k in range(width):
+                    key = mix(key + lines[:, k])
+                keys.append(key.view(np.int64).tolist())
+            places = np.lib.stride_tricks.sliding_window_view(number[a:b], width)
+            marks = one[a:b].view(np.int64)
+            begin = np.flatnonzero(np.diff(chosen[held], prepend=-1))
+            for s, e in zip(begin, np.append(begin[1:], len(held)), strict=True):
+                found.append((int(marks[chosen[held[s]]]), [{"k1": keys[0][w], "k2": keys[1][w], "at": places[w].tolist()} for w in held[s:e].tolist()]))
         yield found
 
 
-def repeated_lines(docs: DataFrame, run: int = 3, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, run: int = 3, id_col: str = "doc_id", text: str = "text", passage: int | None = None) -> DataFrame:
     """(doc, hash, removed): the numbers (from 0, all lines counted) of the lines to delete, for documents that have any.
 
     A line is deleted if it lies in ``run`` or more consecutive lines that stood before, in order of id (null first)
     and place, in another document or the same. Lines without a word are no part of a run: they are skipped and stay.
+    With ``passage`` it is also deleted if it lies in fewer consecutive lines that stood before and hold ``passage`` words
+    or more together, or if its text has fewer lines with a word than ``run`` and they stood before as a whole text.
     Lines compare without blanks around them. ``doc`` and ``hash`` (xxhash64 of the text) name a document; rows alike
     in both are one document and do not repeat each other.
     """
@@ -90,7 +101,7 @@ def repeated_lines(docs: DataFrame, run: int = 3, id_col: str = "doc_id", text:
         for batch in small_batches(batches, "text__", 1 << 20):
             docs_, hashes, prints, windows = [], [], [], []
             ids, own = batch.column("doc").to_pylist(), batch.column("hash").to_pylist()
-            for k, found in enumerate(_fingerprints(batch.column("text__"), run, hashers)):
+            for k, found in enumerate(_fingerprints(batch.column("text__"), run, hashers, passage)):
                 for mark, around in found:
                     docs_.append(ids[k])
                     hashes.append(own[k])
@@ -110,13 +121,13 @@ def repeated_lines(docs: DataFrame, run: int = 3, id_col: str = "doc_id", text:
     return later.groupBy("doc", "hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("at")))).alias("removed"))
 
 
-def drop_repeated_lines(docs: DataFrame, run: int = 3, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, run: int = 3, id_col: str = "doc_id", text: str = "text", passage: int | None = None) -> DataFrame:
     """All rows and columns of ``docs`` with the lines of ``repeated_lines`` deleted from the text.
 
     Texts without such lines stay as they are, null and empty ones too; a text may become empty.
     """
     columns = docs.columns
-    removed = repeated_lines(docs, run, id_col, text).select(
+    removed = repeated_lines(docs, run, id_col, text, passage).select(
         F.col("doc").alias("lines_id__"), F.col("hash").alias("lines_hash__"), F.col("removed").alias("lines_removed__"))
     joined = docs.withColumn("lines_own__", F.xxhash64(text)).join(
         removed, F.col(id_col).eqNullSafe(F.col("lines_id__")) & (F.col("lines_own__") == F.col("lines_hash__")), "left")

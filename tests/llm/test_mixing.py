@@ -78,6 +78,28 @@ def test_mix_equals_queues(spark):
     assert {r["doc_id"]: r["taken"] for r in queues if r["taken"]} == dict(got)
 
 
+def test_mix_queues_every_row(spark):
+    # Null ids, and ids that repeat with another text, another source, or alike in everything; the first null row has no words.
+    rows = [(None, "", "en", "s0", 0)] + [(None, " ".join(f"n{i}x{j}" for j in range(10 + i)), "en", f"s{i % 3}", 0) for i in range(60)]
+    rows += [(i % 20, " ".join(f"d{i}x{j}" for j in range(30 + i)), "en", f"s{i % 4}", 0) for i in range(60)] + [(7, "alike in all", "en", "s1", 0)] * 9
+    rows += [(8, "same text", lang, source, n) for lang in ("en", "fr") for source in ("s0", None) for n in (1, 2)]
+    sized = [(r[0], r[3], len(words(r[1]))) for r in rows]
+    sizes = defaultdict(int)
+    for _, source, n in sized:
+        sizes[source] += n
+    goal = targets(sizes)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = mixing.mix(docs).collect()
+    per_id, per_source = defaultdict(int), defaultdict(int)
+    for r in got:
+        per_id[r["doc_id"]] += len(words(r["text"]))
+        per_source[r["source"]] += len(words(r["text"]))
+    assert dict(per_id) == {d: sum(n) for d, n in taken(sized, goal).items() if sum(n)}
+    assert all(abs(per_source[s] - goal[s]) < 1 + 1e-6 for s in goal)
+    again = mixing.mix(spark.createDataFrame(rows[::-1], docs.schema).repartition(5)).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+
+
 def test_odd_documents(odd_docs, no_docs, clashing):
     for docs in (odd_docs, clashing):
         sized = docs.select("doc_id", "source", word_count("text").alias("size"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hosts, language, lines, mixing, near_duplicates, neighbours, packing, passages, quality, quotes
+from . import fim, hosts, language, lines, mixing, near_duplicates, neighbours, packing, passages, quality, quotes
 from .common import WORD, table, word_count
 
 
@@ -61,6 +61,12 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    return written.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                          F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_url_filters": op2_url_filters,
@@ -72,6 +78,7 @@ QUERIES = {
     "op8_quotation_linking": op8_quotation_linking,
     "op9_language": op9_language,
     "op10_neighbours": op10_neighbours,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _WORDS = f"regexp_extract_all(coalesce(text, ''), '{WORD}')"
@@ -98,6 +105,20 @@ _SHINGLES = f"""s AS (SELECT doc_id, w, CASE WHEN len(w) = 0 THEN [] WHEN len(w)
 
 _BLANKS = "[\\x20\\x09-\\x0D]+"
 
+_HEX = "('0x' || substr(h, {}, 8))::UBIGINT"
+_FIM = f"""WITH u AS (SELECT doc_id, t, regexp_extract_all(t, '{fim.UNIT}') AS units,
+   {_HEX.format(1)} AS h1, {_HEX.format(9)} AS h2, {_HEX.format(17)} AS h3, {_HEX.format(25)} AS h4
+  FROM (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || CAST(doc_id AS VARCHAR)) AS h FROM documents)),
+ c AS (SELECT *, len(units) AS n, CASE WHEN doc_id IS NULL OR t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+   OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+  least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS lo, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS hi FROM u),
+ p AS (SELECT *, array_to_string(units[1:lo], '') AS pre, array_to_string(units[lo + 1:hi], '') AS mid,
+  array_to_string(units[hi + 1:], '') AS suf FROM c)
+ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CAST(CASE WHEN form <> 'plain' THEN length(pre) END AS BIGINT) AS prefix_chars,
+  CAST(CASE WHEN form <> 'plain' THEN length(mid) END AS BIGINT) AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid
+   ELSE t END) AS output_sha256, sha256(t) AS restored_sha256 FROM p"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": f"""{_LEDGER}, f AS (SELECT *, {_BITS} AS bits FROM m)
  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, bits & {quality.mask("base")} <> 0 AS base_failed,
@@ -125,4 +146,5 @@ ORACLE_SQL: dict[str, str] = {
    ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS start FROM s)
  SELECT doc_id, size, source_size, target, CAST(greatest(0, least(size, floor(target) - start)) + greatest(0, least(size, floor(target) - source_size - start))
   + greatest(0, least(size, floor(target) - 2 * source_size - start)) AS BIGINT) AS taken FROM q JOIN t ON q.source IS NOT DISTINCT FROM t.source""",
+    "op13_fill_in_middle": _FIM,
 }

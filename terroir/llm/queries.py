@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fim, hosts, language, lines, mixing, near_duplicates, neighbours, packing, passages, quality, quotes
+from . import fim, hosts, language, lines, mixing, near_duplicates, neighbours, packing, passages, quality, quotes, runs
 from .common import WORD, table, word_count
 
 
@@ -61,6 +61,17 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(table(spark, sf_dir, "documents"), seed=runs.contract_seed())
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("key"), r["start"].alias("start"), r["period"].alias("period"),
+                                                              r["length"].alias("length"))))
+    listed = F.concat_ws("", F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])))
+    return found.select(
+        "doc_id", "n_words", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.floor(best["length"] * 1000 / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = fim.fill_in_middle(table(spark, sf_dir, "documents"))
     return written.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
@@ -78,6 +89,7 @@ QUERIES = {
     "op8_quotation_linking": op8_quotation_linking,
     "op9_language": op9_language,
     "op10_neighbours": op10_neighbours,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fim, hosts, language, lines, mixing, near_duplicates, neighbours, packing, passages, quality, quotes, runs
+from . import fim, hosts, language, lines, mixing, near_duplicates, neighbours, packing, passages, quality, quality_mil, quotes, runs
 from .common import WORD, table, word_count
 
 
@@ -72,6 +72,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model, buckets = quality_mil.fit(language.learnable(docs), table(spark, sf_dir, "labels"))
+    return quality_mil.score_docs(docs, model, buckets).select(
+        "doc_id", language.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = fim.fill_in_middle(table(spark, sf_dir, "documents"))
     return written.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
@@ -90,6 +97,7 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_neighbours": op10_neighbours,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_quality_classifier": op12_quality_classifier,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 

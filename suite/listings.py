@@ -263,9 +263,18 @@ _WRITES = """SELECT user_id, CASE event_id % 4 WHEN 1 THEN NULL WHEN 3 THEN conc
  UNION ALL SELECT user_id, concat('u', CAST(user_id AS STRING)), concat('https://x.example/', CAST(user_id AS STRING)), 0e0, -1 FROM events WHERE event_id % 5 = 0"""
 
 
-@case("upsert_listings", f"""SELECT id, url, price, seq FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY seq DESC) AS rn FROM (
- SELECT *, CASE WHEN linked OR url IS NOT NULL THEN concat('url', CAST(user_id AS STRING)) ELSE id END AS k FROM (
-  SELECT *, bool_or(url IS NOT NULL AND id = concat('u', CAST(user_id AS STRING))) OVER (PARTITION BY user_id) AS linked FROM ({_WRITES})))) WHERE rn = 1 AND seq >= 0""")
+# The writes replayed in order per user (a user's ids and urls are never shared with another): a write replaces the
+# first listing in the store that holds its id or url at that moment, or is appended.
+@case("upsert_listings", f"""WITH RECURSIVE w AS (SELECT user_id, nullif(id, '') AS id, nullif(url, '') AS url, price, seq,
+   row_number() OVER (PARTITION BY user_id ORDER BY seq, hash(id, url, price, seq)) AS step FROM ({_WRITES})),
+ state(user_id, step, store) AS (SELECT user_id, 0, list_filter([{{'id': any_value(id), 'url': any_value(url), 'price': any_value(price),
+   'seq': any_value(seq)}}], lambda x: false) FROM w GROUP BY user_id
+  UNION ALL SELECT s.user_id, s.step + 1, CASE WHEN m.at IS NULL THEN list_append(s.store, {{'id': w.id, 'url': w.url, 'price': w.price, 'seq': w.seq}})
+    ELSE list_transform(s.store, lambda e, i: CASE WHEN i = m.at THEN {{'id': w.id, 'url': w.url, 'price': w.price, 'seq': w.seq}} ELSE e END) END
+  FROM state s JOIN w ON w.user_id = s.user_id AND w.step = s.step + 1,
+  LATERAL (SELECT list_filter(list_transform(s.store, lambda e, i: CASE WHEN e.id = w.id OR e.url = w.url THEN i END), lambda x: x IS NOT NULL)[1] AS at) m),
+ final AS (SELECT unnest(store) AS l FROM state s WHERE step = (SELECT max(step) FROM w WHERE w.user_id = s.user_id))
+ SELECT l.id AS id, l.url AS url, l.price AS price, l.seq AS seq FROM final WHERE l.seq >= 0""")
 def _(spark, sf):
     from .base import table
 

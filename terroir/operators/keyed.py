@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,9 +60,62 @@ def listing_key(writes: DataFrame) -> DataFrame:
     return found.select(*writes.columns, F.coalesce("component", "_node").alias("_key"))
 
 
+def replay(keys: pd.DataFrame) -> pd.DataFrame:
+    """Writes of one connected group applied one after the other (rows in order): a write replaces the listing that
+    holds its id or its url at that moment, the first created if several do, or creates one. Returns the row of the
+    last write of every listing. Empty ids and urls match nothing."""
+    holders: dict[tuple[str, str], set[int]] = {}
+    owner: list[tuple[str | None, str | None]] = []
+    last: list[int] = []
+    for row, ident, url in zip(keys["_row"], keys["id"], keys["url"], strict=True):
+        names = [(kind, value) for kind, value in (("i", ident), ("u", url)) if isinstance(value, str) and value]
+        found = [min(holders[n]) for n in names if holders.get(n)]
+        if found:
+            at = min(found)
+            for n in owner[at]:
+                holders[n].discard(at)
+            owner[at], last[at] = names, row
+        else:
+            at = len(last)
+            owner.append(names)
+            last.append(row)
+        for n in names:
+            holders.setdefault(n, set()).add(at)
+    return pd.DataFrame({"_row": pd.Series(last, dtype="int64")})
+
+
 def upsert_listings(writes: DataFrame, order: Sequence[str]) -> DataFrame:
-    """State after a series of writes: the last one per listing wins. A write meets the listing that has its id or its url."""
-    return newest_per_key(listing_key(writes), ["_key"], [F.col(c).desc_nulls_last() for c in order]).drop("_key")
+    """State after a series of writes applied in ``order`` (ascending, nulls first; ties by the content of the row):
+    a write replaces the listing that holds its id or its url when it comes, as a store that looks up the current
+    holder does, and creates a listing when none does.
+
+    A write without id and url meets nothing and stays a listing of its own. Writes of different connected groups
+    (of ids and urls) never meet. A group whose writes all carry one (id, url)
+    is one listing: its last write, by a group limit. The other groups drop writes that repeat the (id, url) of the
+    write just before them (such a write meets the listing the previous one made), and are then replayed in order,
+    one task per group (``replay``); the rows are numbered and stored first, so a replayed task sees the same rows.
+    """
+    ident, url = F.nullif("id", F.lit("")), F.nullif("url", F.lit(""))
+    rows = materialize(listing_key(writes).withColumn("_row", F.monotonically_increasing_id()), "upsert-writes")
+    pair = F.concat_ws("\u0001", F.coalesce(F.concat(F.lit("i"), ident), F.lit("-")), F.coalesce(F.concat(F.lit("u"), url), F.lit("-")))
+    rows = rows.withColumn("_pair", pair)
+    alone = rows.where(ident.isNull() & url.isNull())
+    rows = rows.where(ident.isNotNull() | url.isNotNull())
+    ties = [F.col(c).asc_nulls_first() for c in order] + [F.xxhash64(*writes.columns), F.col("_row")]
+    pairs = rows.groupBy("_key").agg(F.countDistinct("_pair").alias("_pairs"))
+    rows = rows.join(pairs, "_key")
+    newest = [F.col(c).desc_nulls_last() for c in order] + [F.xxhash64(*writes.columns).desc(), F.col("_row").desc()]
+    single = newest_per_key(rows.where("_pairs = 1"), ["_key"], newest)
+    knotted = rows.where("_pairs > 1")
+    step = Window.partitionBy("_key").orderBy(*ties)
+    changes = knotted.withColumn("_next", F.lead("_pair").over(step)).where(F.coalesce(F.col("_next") != F.col("_pair"), F.lit(True)))
+    ordered = changes.select("_key", "_row", ident.alias("id"), url.alias("url"), *[F.col(c).alias(f"_o{k}") for k, c in enumerate(order)],
+                             F.xxhash64(*writes.columns).alias("_h"))
+    sort_by = [f"_o{k}" for k in range(len(order))] + ["_h", "_row"]
+    last = ordered.groupBy("_key").applyInPandas(
+        lambda part: replay(part.sort_values(sort_by, na_position="first", kind="stable")), "_row long")
+    kept = knotted.join(last, "_row", "left_semi")
+    return single.unionByName(kept).select(*writes.columns).unionByName(alone.select(*writes.columns))
 
 
 def merge_keyed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

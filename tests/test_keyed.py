@@ -17,6 +17,36 @@ def test_upsert_meets_by_id_or_url(spark):
     assert sorted(r.price for r in keyed.upsert_listings(df, ["seq"]).collect()) == [3.0, 5.0, 6.0, 7.0]
 
 
+def walk(writes):
+    """The store of the contract: a write replaces the first listing that holds its id or url now, or is appended."""
+    store = []
+    for w in sorted(writes, key=lambda w: w[3]):
+        at = next((k for k, l in enumerate(store) if (w[0] and l[0] == w[0]) or (w[1] and l[1] == w[1])), None)
+        if at is None:
+            store.append(w)
+        else:
+            store[at] = w
+    return sorted(store, key=lambda w: w[3])
+
+
+def test_moved_listing_keeps_both(spark):
+    rows = [("1", "u1", 1.0, 1), ("1", "u2", 2.0, 2), ("2", "u1", 3.0, 3)]
+    got = keyed.upsert_listings(spark.createDataFrame(rows, "id string, url string, price double, seq int"), ["seq"]).collect()
+    assert sorted(tuple(r) for r in got) == [("1", "u2", 2.0, 2), ("2", "u1", 3.0, 3)]
+
+
+def test_replay_equals_walk(spark):
+    import random
+
+    rng = random.Random(4)
+    pool = lambda p, n: rng.choice([None, "", *[f"{p}{k}" for k in range(n)]])
+    writes = [(pool("i", 40), pool("u", 40), float(k), k) for k in range(3000)]
+    writes += [("hot", "h", float(k), 3000 + k) for k in range(500)] + [("hot", "h2", 1.0, 3500), ("x", "h", 2.0, 3501)]
+    rng.shuffle(writes)
+    got = keyed.upsert_listings(spark.createDataFrame(writes, "id string, url string, price double, seq int"), ["seq"]).collect()
+    assert sorted((tuple(r) for r in got), key=lambda w: w[3]) == walk(writes)
+
+
 def test_long_chain_is_one_listing(spark):
     rows = [(f"i{k // 2}", f"u{(k + 1) // 2}", k) for k in range(60)]
     assert keyed.upsert_listings(spark.createDataFrame(rows, "id string, url string, seq int"), ["seq"]).collect() == [("i29", "u30", 59)]

@@ -62,6 +62,19 @@ def run_bounded(
     return query
 
 
+def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], paths: JobPaths) -> StreamingQuery:
+    """Process batches until the source offers nothing more, its own bounds included, then stop.
+
+    For sources that bound batches themselves (messages per batch and per run) and so cannot be planned at once
+    as ``availableNow`` does.
+    """
+    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", paths.checkpoint)
+    query = writer.trigger(processingTime="0 seconds").start()
+    query.processAllAvailable()
+    query.stop()
+    return query
+
+
 def write_batch(df: DataFrame, table: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
 

@@ -77,3 +77,24 @@ def test_ingestion_event(spark):
     body = E.parse_events(E.ingestion_event(spark.range(3), spark.range(2), "p", 50, ("a", "b")), schemas.INGESTION_EVENT).select("body.*").first()
     assert (body.event, body.scale, body.metrics.dvf_rows, body.metrics.insee_rows, body.paths.dvf_parquet) == (
         "ingestion_completed", "sample", 3, 2, "a")
+
+
+def test_messages_bounded_by_batch_and_run(spark, tmp_path):
+    from terroir.sources.topic_lines import count_lines, read_topic_lines
+
+    topic = tmp_path / "topic"
+    topic.mkdir()
+    lines = [json.dumps({"k": k}) for k in range(10_000)]
+    (topic / "a-000").write_text("\n".join(lines[:6000]) + "\n")
+    (topic / "a-001").write_text("\n".join(lines[6000:]))  # no line break at the end
+    assert count_lines(str(topic / "a-001"))[0] == 4000
+    paths = J.JobPaths(str(tmp_path / "job"))
+    each = lambda df, n: J.write_batch(df.select("offset", "value"), paths.table("seen"), n)
+    J.run_available(read_topic_lines(spark, str(topic), paths.table("progress"), 700, 2500), each, paths)
+    first = spark.read.parquet(paths.table("seen")).collect()
+    assert sorted(r.offset for r in first) == list(range(2500))
+    J.run_available(read_topic_lines(spark, str(topic), paths.table("progress"), 700), each, paths)
+    seen = spark.read.parquet(paths.table("seen"))
+    assert sorted(r.offset for r in seen.collect()) == list(range(10_000))
+    assert all(json.loads(r.value)["k"] == r.offset for r in seen.collect())
+    assert max(r["count"] for r in seen.groupBy("batch").count().collect()) <= 700

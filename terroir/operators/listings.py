@@ -283,15 +283,44 @@ def parse_pagination(query: Mapping[str, object]) -> tuple[int | None, int]:
     return capped, max(0, int(offset or 0))
 
 
-def paginate(listings: DataFrame, order: Sequence[str], limit: int | None, offset: int = 0) -> DataFrame:
-    """A page with ``total``; without a limit everything, the offset then being ignored.
-
-    The page is a top-k of offset + limit rows per task, not a sort of the table,
-    and the total is a scalar subquery over the unprojected rows.
+def paginate(listings: DataFrame, order: Sequence[str], limit: int | None, offset: int = 0, slices: int = 256) -> DataFrame:
+    """A page with ``total`` in ascending ``order`` (nulls first); without a limit everything, the offset then being
+    ignored.
+
+    The page is found by order statistics, not by counting through the offset: cut values of the first order column
+    (from a sample of about 20 rows per slice; they only decide how fine the slices are) split the rows into at most
+    ``slices`` + 1 ranges plus one of nulls, and one aggregate counts each range. The ranges that hold rows
+    offset to offset + limit are the only ones sorted, and the offset left inside them is what is skipped. Equal
+    first values always share a range, so ties are ordered by the other columns as in a full sort.
     """
     total = listings.agg(F.count(F.lit(1))).scalar()
-    page = listings if limit is None else listings.orderBy(*order).offset(offset).limit(limit)
-    return page.withColumn("total", total)
+    if limit is None:
+        return listings.withColumn("total", total)
+    ranged = page_slices(listings, order[0], slices)
+    counts = sorted((r["_slice"], r["n"]) for r in ranged.groupBy("_slice").agg(F.count(F.lit(1)).alias("n")).collect())
+    seen, before, wanted = 0, 0, []
+    for number, n in counts:
+        if seen + n > offset and seen < offset + limit:
+            before = before if wanted else seen
+            wanted.append(number)
+        seen += n
+    if not wanted:
+        return listings.limit(0).withColumn("total", total)
+    inside = ranged.where(F.col("_slice").between(wanted[0], wanted[-1])).drop("_slice")
+    return inside.orderBy(*order).offset(offset - before).limit(limit).withColumn("total", total)
+
+
+def page_slices(listings: DataFrame, column: str, slices: int = 256) -> DataFrame:
+    """The rows with ``_slice``: -1 for a null ``column``, else how many cut values lie at or below the value."""
+    n = listings.count()
+    sample = listings.select(column).where(F.col(column).isNotNull())
+    if n > 20 * slices:
+        sample = sample.sample(fraction=20 * slices / n, seed=7)
+    values = sorted({r[0] for r in sample.collect()})
+    cuts = values[:: max(1, len(values) // slices)][1:] if values else []
+    cut_array = F.array(*[F.lit(v) for v in cuts]) if cuts else F.array().cast(f"array<{listings.schema[column].dataType.simpleString()}>")
+    number = F.size(F.filter(cut_array, lambda c: c <= F.col(column)))
+    return listings.withColumn("_slice", F.when(F.col(column).isNull(), F.lit(-1)).otherwise(number))
 
 
 def page_after(listings: DataFrame, order: Sequence[str], last: Sequence[object] | None, limit: int) -> DataFrame:

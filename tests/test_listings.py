@@ -61,6 +61,25 @@ def test_pagination(listings):
     assert L.paginate(listings, ["id"], None, 2).count() == 3
 
 
+def test_pages_by_order_statistics(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(f"i{k:05d}", rng.choice([None, *range(40)]) if k % 3 else 7, rng.random()) for k in range(20_000)]
+    df = spark.createDataFrame(rows, "id string, price int, x double")
+    full = sorted(rows, key=lambda r: (r[1] is not None, r[1] if r[1] is not None else 0, r[0]))
+    for offset, limit in ((0, 10), (6_000, 50), (13_333, 200), (19_990, 50), (25_000, 5)):
+        page = L.paginate(df, ["price", "id"], limit, offset).collect()
+        assert [(r.id, r.price) for r in page] == [(r[0], r[1]) for r in full[offset : offset + limit]]
+        assert all(r.total == 20_000 for r in page)
+    # A deep page sorts its slices only: rows of values spread evenly, 256 slices.
+    even = spark.range(100_000).select(F.col("id").cast("string").alias("id"), F.col("id").alias("price"))
+    ranged = L.page_slices(even, "price")
+    sizes = {r["_slice"]: r["count"] for r in ranged.groupBy("_slice").count().collect()}
+    assert max(sizes.values()) < 2_000 and len(sizes) > 100
+    assert [r.price for r in L.paginate(even, ["price", "id"], 20, 77_000).collect()] == list(range(77_000, 77_020))
+
+
 def test_normalize(spark):
     row = L.split_rejects(L.normalize_listings(raw(spark)))[0].first()
     assert (row.title, row.price, row.rooms, row.surface, row.source, row.lat) == ("T3 lumineux", 1200.0, 3, 65.0, "seloger", 45.75)

@@ -56,12 +56,15 @@ def host_edges(pages: DataFrame, host: str = "host", html: str = "html") -> Data
     return links.union(above).where("src <> '' AND dst <> '' AND src <> dst").distinct()
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 6) -> DataFrame:
-    """(host, trust, distrust) by personalised PageRank, ``rounds`` steps of it.
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-7, max_rounds: int = 1000) -> DataFrame:
+    """(host, trust, distrust) by personalised PageRank, run until it converges.
 
     ``seeds`` is (host, kind, weight), kind ``trust`` or ``distrust``. Trust leaves a host in equal parts over its
     links, distrust in equal parts over the links that point to it. One table holds both directions, so a step is one
     join and one sum; sums are combined before the shuffle and a hub's edges are a skewed join that Spark splits.
+    Steps go on until the scores of a step differ from those of the step before by less than ``tolerance`` in all
+    (both kinds, each kind's seeds adding up to 1); every step is written to the shared folder. ``max_rounds`` is a
+    safety stop that raises, not a cut: the change shrinks by the damping at every step, so 1e-7 takes about 100.
     """
     both = edges.select("src", "dst", F.lit("trust").alias("kind")).union(edges.select(F.col("dst"), F.col("src"), F.lit("distrust")))
     degree = both.groupBy("src", "kind").agg(F.count("*").alias("degree"))
@@ -71,19 +74,24 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds:
         "host", "kind", (F.col("weight") / F.col("total")).alias("score")), "host_seeds")
     base = start.select("host", "kind", (F.col("score") * (1 - damping)).alias("score"))
     state = start
-    for step in range(rounds):
+    for _ in range(max_rounds):
         moved = state.withColumnRenamed("host", "src").join(flows, ["src", "kind"]).select(
             F.col("dst").alias("host"), "kind", (F.col("score") * F.col("share")).alias("score"))
-        state = moved.union(base).groupBy("host", "kind").agg(F.sum("score").alias("score"))
-        if step % 3 == 2:
-            state = materialize(state, "host_scores")
+        new = materialize(moved.union(base).groupBy("host", "kind").agg(F.sum("score").alias("score")), "host_scores")
+        change = new.join(state.withColumnRenamed("score", "was"), ["host", "kind"], "full").agg(
+            F.sum(F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("was", F.lit(0.0))))).first()[0]
+        state = new
+        if not change or change < tolerance:
+            break
+    else:
+        raise RuntimeError(f"host scores did not converge in {max_rounds} rounds")
     return state.groupBy("host").agg(
         F.coalesce(F.sum(F.when(F.col("kind") == "trust", F.col("score"))), F.lit(0.0)).alias("trust"),
         F.coalesce(F.sum(F.when(F.col("kind") == "distrust", F.col("score"))), F.lit(0.0)).alias("distrust"))
 
 
 def judge(pages: DataFrame, rules: Rules, id_col: str = "page_id", url: str = "url", html: str = "html", damping: float = 0.85,
-          rounds: int = 6, threshold: float = 1.0) -> DataFrame:
+          tolerance: float = 1e-7, threshold: float = 1.0) -> DataFrame:
     """Per page: the id, host, path, rule (or null), verdict, and its host's trust and distrust.
 
     Pages that a rule fits take its verdict and seed their host, once per page, with trust or distrust. Others are
@@ -97,7 +105,7 @@ def judge(pages: DataFrame, rules: Rules, id_col: str = "page_id", url: str = "u
     slim = materialize(ruled.select("id__", "host", "path", "rule", F.element_at(verdicts, F.col("rule")).alias("given")), "ruled_pages")
     kind = F.when(F.col("given") == "allow", "trust").otherwise("distrust")
     seeds = slim.where("given IS NOT NULL AND host <> ''").groupBy("host", kind.alias("kind")).agg(F.count("*").cast("double").alias("weight"))
-    scores = materialize(propagate(host_edges(parsed), seeds, damping, rounds), "hosts_judged")
+    scores = materialize(propagate(host_edges(parsed), seeds, damping, tolerance), "hosts_judged")
     judged = slim.join(scores, "host", "left")
     bad = F.coalesce(F.round("distrust", 12) > F.round(F.col("trust") * threshold, 12), F.lit(False))
     verdict = F.coalesce("given", F.when(bad, "block").otherwise("allow"))

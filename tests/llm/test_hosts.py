@@ -33,23 +33,29 @@ def edges(pages):
     return {(a, b) for a, b in out if a and b and a != b}
 
 
-def ranks(pages, rounds=6, d=0.85):
+def ranks(pages, d=0.85, tolerance=1e-7):
+    """Both kinds stepped together until the scores of a step change by less than ``tolerance`` in all."""
     e = edges(pages)
-    scores = {}
-    for kind, flow in (("allow", e), ("block", {(b, a) for a, b in e})):
-        degree = Counter(a for a, _ in flow)
+    flows = {"allow": e, "block": {(b, a) for a, b in e}}
+    base, state = {}, {}
+    for kind, flow in flows.items():
         seeds = Counter(split(u)[0] for _, u, _ in pages if rule(*split(u))[1] == kind and split(u)[0])
-        base = {h: n / seeds.total() for h, n in seeds.items()}
-        state = dict(base)
-        for _ in range(rounds):
+        base[kind] = {h: n / seeds.total() for h, n in seeds.items()}
+        state[kind] = dict(base[kind])
+    while True:
+        change = 0.0
+        for kind, flow in flows.items():
+            degree = Counter(a for a, _ in flow)
             new = defaultdict(float)
-            for h, x in base.items():
+            for h, x in base[kind].items():
                 new[h] += (1 - d) * x
             for a, b in flow:
-                new[b] += d * state.get(a, 0) / degree[a]
-            state = new
-        scores[kind] = state
-    return scores
+                if a in state[kind]:
+                    new[b] += d * state[kind][a] / degree[a]
+            change += sum(abs(new.get(h, 0) - state[kind].get(h, 0)) for h in set(new) | set(state[kind]))
+            state[kind] = new
+        if change < tolerance:
+            return state
 
 
 def _pages(rng, n=300):
@@ -87,6 +93,15 @@ def test_hot_host_and_clashing_columns(spark):
     assert {(r["host"], r["verdict"], r["count"]) for r in got} == {("hub.org", "block", 3000), ("bad.net", "block", 3)}
 
 
+def test_long_chain_converges(spark):
+    """50 hosts in a chain that leads to a blocked one: all of them get distrust and are blocked."""
+    rows = [(k, f"http://h{k}.org/", f'<a href="http://h{k + 1}.org/">') for k in range(50)] + [(50, "http://bad.net/es/x", "")]
+    rows[49] = (49, "http://h49.org/", '<a href="http://bad.net/">')
+    got = {r["page_id"]: r for r in hosts.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), URL_RULES).collect()}
+    assert all(got[k]["verdict"] == "block" and got[k]["distrust"] > 0 for k in range(50))
+    assert got[0]["distrust"] == pytest.approx(0.15 * 0.85**50, rel=1e-3)
+
+
 def test_empty_tables_and_no_rules(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert hosts.judge(none, URL_RULES).count() == 0

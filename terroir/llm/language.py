@@ -60,11 +60,16 @@ _FOLD[128:256] = np.arange(128, 256)
 
 
 def ngram_counts(column: pa.Array, buckets: int) -> np.ndarray:
-    """Counts of hashed byte n-grams of two and three letters per text; gaps count once, runs of them not."""
+    """Counts of hashed byte n-grams of two and three letters per text; gaps count once, runs of them not.
+
+    Every text has a gap before and after it, so a text of one letter has n-grams too.
+    """
     data, offsets = bytes_of(column)
     n = len(offsets) - 1
-    row = np.repeat(np.arange(n, dtype=np.int64), np.diff(offsets))
-    folded = _FOLD[data]
+    lengths = np.diff(offsets)
+    row = np.repeat(np.arange(n, dtype=np.int64), lengths + 2)
+    folded = np.zeros(len(data) + 2 * n, np.uint32)
+    folded[np.arange(len(data)) + np.repeat(2 * np.arange(n) + 1, lengths)] = _FOLD[data]
     keep = np.ones(len(folded), bool)
     keep[1:] = (folded[1:] != 0) | (folded[:-1] != 0) | (row[1:] != row[:-1])
     folded, row = folded[keep], row[keep]

@@ -54,6 +54,14 @@ def test_sample_is_bounded_and_repeatable(spark):
     assert np.allclose(one.weights, two.weights, atol=1e-5) and len(one.languages) == 3
 
 
+def test_one_letter_texts_have_a_language(spark):
+    model = language.fit(language.learnable(_docs(spark, ["en", "fr", "de"])))
+    texts = spark.createDataFrame([(1, "a"), (2, "Z"), (3, " é "), (4, "7")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in language.identify(texts, model).collect()}
+    assert all(got[k]["lang_pred"] in model.languages and got[k]["score"] > 0 for k in (1, 2, 3))
+    assert got[4]["lang_pred"] == "und" and got[4]["score"] == 0
+
+
 def test_odd_documents(spark, odd_docs, no_docs, clashing):
     model = language.fit(language.learnable(_docs(spark, ["en", "fr", "de"])))
     for docs in (odd_docs, clashing):

@@ -121,13 +121,15 @@ def upsert_listings(writes: DataFrame, order: Sequence[str]) -> DataFrame:
 def merge_keyed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Upsert of documents: fields supplied by the new document replace the old ones.
 
-    Columns missing from ``new`` keep their old value, as a partial update does.
+    Columns missing from ``new`` keep their old value, as a partial update does. Of several new documents with one
+    key, the one whose fields have the largest hash wins, the same one at every run.
     """
     partial = [c for c in old.columns if c not in new.columns]
     if partial:
         new = new.join(old.select(*keys, *partial), list(keys), "left")
     both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
-    return newest_per_key(both, keys, [F.col("_new").desc()]).drop("_new")
+    fields = F.xxhash64(*[c for c in both.columns if c != "_new"])
+    return newest_per_key(both, keys, [F.col("_new").desc(), fields.desc()]).drop("_new")
 
 
 def insert_if_absent(existing: DataFrame, new: DataFrame, key: str = "id", order: Sequence[str] = ()) -> DataFrame:

@@ -95,3 +95,10 @@ def test_shared_folder_comes_from_the_session(spark):
 
 def test_listing_schema_is_declared():
     assert schemas.LISTING["price"].dataType == T.DoubleType() and schemas.LISTING["rooms"].dataType == T.IntegerType()
+
+
+def test_merge_keyed_picks_one_new_row_by_content(spark):
+    old = spark.createDataFrame([("a", 1)], "k string, v int")
+    new = spark.createDataFrame([("a", 2), ("a", 3), ("b", 4), ("b", 5)], "k string, v int")
+    runs = {tuple(sorted(tuple(r) for r in merge_keyed(old, new.repartition(n), ["k"]).collect())) for n in (1, 3, 7)}
+    assert len(runs) == 1 and len(next(iter(runs))) == 2

@@ -30,3 +30,13 @@ def test_query_equals_sql(spark, sf, name):
     columns = [d[0] for d in cursor.description]
     assert sorted(columns) == sorted(df.columns)
     assert _rows(df.columns, df.collect()) == _rows(columns, cursor.fetchall())
+
+
+def test_stream_files_grow_with_the_table(spark):
+    from suite import streams
+
+    for parts in (4, 40):
+        path, per_batch = streams._stored(spark, spark.range(2000).repartition(parts), "files", 3)
+        files = spark.read.parquet(path).inputFiles()
+        assert per_batch >= max(parts, 8) and len(files) == 3 * per_batch
+        assert spark.read.parquet(path).count() == 2000

@@ -64,8 +64,8 @@ EXTRACTED = """SELECT p_partkey,
 _COLUMNS = ("p_partkey", "title", "price", "surface", "rooms", "city", "postalCode", "elevator", "furnished", "dpe", "photos", "description")
 
 
-def made_pages(spark, sf):
-    table(spark, sf, "part").createOrReplaceTempView("part")
+def made_pages(spark, parts):
+    parts.createOrReplaceTempView("part")
     return spark.sql(MADE_PAGES)
 
 
@@ -78,7 +78,7 @@ def _layers_seen(pages):
 
 @case("merge_first_non_null", EXTRACTED)
 def _(spark, sf):
-    df = P.merge_first_non_null(P.extract_layers(made_pages(spark, sf)))
+    df = P.merge_first_non_null(P.extract_layers(made_pages(spark, table(spark, sf, "part"))))
     return df.withColumn("photos", F.concat_ws(",", "photos")).select(*_COLUMNS)
 
 
@@ -86,7 +86,7 @@ def _(spark, sf):
   CAST(p_size AS STRING), ' m² 1 ', CAST(100 + p_partkey % 900 AS STRING), ' € Lyon (69001)') ELSE '' END, '') AS title,
   p_size % 5 IN (0, 4) AS has_state, p_size % 5 = 2 AS has_jsonld FROM part""")
 def _(spark, sf):
-    made = made_pages(spark, sf).select((F.col("p_partkey").cast("bigint") + 1000000000).alias("page_id"), "url", "html")
+    made = made_pages(spark, table(spark, sf, "part")).select((F.col("p_partkey").cast("bigint") + 1000000000).alias("page_id"), "url", "html")
     return _layers_seen(made)
 
 

@@ -16,12 +16,15 @@ operator starts work when it is called; its result is lazy.
 3. Each city is a tree of cells in the four axes of the score; a cell with more
    than ``CELL_SPOTS`` spots is split into finer ones, so every leaf is small
    wherever the city is dense.
-4. Every base goes down its city's tree. At each step the farthest corners of
-   the cells it still looks at may tighten its radius, and cells whose nearest
-   corner is beyond it are left out. What a sparse
-   base beside a dense place looks at is a few cells, not the place.
-5. The spots of the remaining leaves are ranked per base spot, then each listing
-   takes its spot's list without itself.
+4. The bases of a leaf go down their city's tree together. At each step the
+   farthest corners of the cells they still look at may tighten their radius, and
+   cells whose nearest corner is beyond it are left out. What a sparse
+   base beside a dense place looks at is a few cells, not the place. At the leaves
+   every base drops those that start beyond its own radius.
+5. The bases of a remaining leaf are compared with its spots a leaf at a time,
+   at most ``LEAF_BASES`` bases beside at most ``LEAF_IDS`` ids, so a leaf that
+   many look at spreads over tasks. What is found is ranked per base spot, then
+   each listing takes its spot's list without itself.
 
 A step is one equi-join on the cell and one window over the handful of cells of
 a base. The cell of a hot city is a skewed join key, which Spark splits.
@@ -34,6 +37,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +51,9 @@ CELL_SPOTS = 64  # a cell with more spots is split
 STEP = 1  # a step of the tree halves each axis so often
 DEPTH = 26  # halvings at which splitting ends: cells are then max_score / 2**23 wide
 CURVE_BITS = 12  # per dimension
+CURVE_REACH = 128  # neighbours on each side along the curve that give the first radius
+LEAF_BASES = 8192  # bases compared with a leaf in one go
+LEAF_IDS = 8192  # about as many ids of a leaf are looked at in one go
 _ROOT = 3  # root cells are max_score * 2**3 wide
 _SLACK = 1e-9
 _SPOT = ("city", "price", "surface", "lat", "lon")
@@ -127,13 +134,13 @@ def _with_curve(spots: DataFrame, max_score: float) -> DataFrame:
 def _radius_along_curve(keep: int, max_score: float):
     """Upper bound of the ``keep``-th smallest score, from the neighbours in curve order."""
     # Plain values, so that a worker needs numpy and pandas but not this package.
-    reach, price_weight, km_weight = 4 * keep, K.SIMILAR_PRICE_WEIGHT, K.SIMILAR_KM_WEIGHT
+    reach, price_weight, km_weight = max(CURVE_REACH, 4 * keep), K.SIMILAR_PRICE_WEIGHT, K.SIMILAR_KM_WEIGHT
     per_lat, per_lon = K.KM_PER_LAT, K.KM_PER_LON
 
     def bound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             n = len(pdf)
-            city = pdf["city"].to_numpy(dtype=object)
+            city = pd.factorize(pdf["city"])[0]
             price, surface = pdf["price"].to_numpy(float), pdf["surface"].to_numpy(float)
             lat, lon = pdf["lat"].to_numpy(float), pdf["lon"].to_numpy(float)
             p_base, s_base = np.maximum(price, 1.0), np.maximum(surface, 1.0)
@@ -160,7 +167,8 @@ def _with_radius(spots: DataFrame, keep: int, max_score: float) -> DataFrame:
     ordered = _with_curve(spots, max_score).repartitionByRange("city", "_curve", "price", "surface")
     ordered = ordered.sortWithinPartitions("city", "_curve").drop("_curve")
     schema = T.StructType([*ordered.schema.fields, T.StructField("radius", T.DoubleType())])
-    return ordered.mapInPandas(_radius_along_curve(keep, max_score), schema)
+    # Ids may repeat, so spots have a number of their own; it holds once they are written.
+    return ordered.mapInPandas(_radius_along_curve(keep, max_score), schema).withColumn("no", F.monotonically_increasing_id())
 
 
 def _width(level: Column, max_score: float) -> Column:
@@ -192,7 +200,8 @@ def _floor(x: Column) -> Column:
 
 
 def _tree(cells: DataFrame) -> DataFrame:
-    """(city, plane, level, cell, ids, leaf): the cells of all trees, with how many ids their spots keep.
+    """(city, plane, level, cell, m, leaf, node): the cells of all trees, with how many ids their spots keep and a number
+    that holds once they are written.
 
     A cell is there if the one above has too many spots; it is a leaf if it has few itself or is of the last level.
     """
@@ -203,22 +212,28 @@ def _tree(cells: DataFrame) -> DataFrame:
     below = inner.join(above, ["city", "plane", "level", *[f"p{c}" for c in _CELL]], "left_semi").drop(*[f"p{c}" for c in _CELL])
     nodes = counted.where(F.col("level") == 0).unionByName(below)
     leaf = (F.col("n") <= CELL_SPOTS) | (F.col("level") == DEPTH)
-    return nodes.select("city", "plane", "level", *_CELL, "m", leaf.alias("leaf"))
+    return nodes.select("city", "plane", "level", *_CELL, "m", leaf.alias("leaf"), F.monotonically_increasing_id().alias("node"))
 
 
-def _reaches(max_score: float) -> tuple[Column, Column]:
-    """Lower and upper bound of the score between the base and anything in the cell of the same row."""
+def _reaches(max_score: float, first: str = "", last: str = "") -> tuple[Column, Column]:
+    """Lower and upper bound of the score between a base and anything in the cell of the same row.
+
+    The base's values lie between the columns named with the prefixes ``first`` and ``last`` (without, a single base).
+    """
     w = _width(F.col("level"), max_score)
 
     def scaled(cell: str, value: str, weight: float) -> tuple[Column, Column]:
-        v = F.col(value)
+        least, most = F.col(first + value), F.col(last + value)
         low, high = _axis_value(F.col(cell) * w / weight), _axis_value((F.col(cell) + 1) * w / weight)
-        unit = weight / F.greatest(v, F.lit(1.0))
-        return F.greatest(F.lit(0.0), low - v, v - high) * unit, F.greatest(high - v, v - low) * unit
+        # On either side of a cell the relative distance has its smallest value at an end of the bases' range.
+        ends = {first: least, last: most}.values()
+        near = [F.greatest(F.lit(0.0), low - most, least - high) / F.greatest(v, F.lit(1.0)) for v in ends]
+        far = F.greatest(high - least, most - low) / F.greatest(least, F.lit(1.0))
+        return (F.least(*near) if len(near) > 1 else near[0]) * weight, far * weight
 
     def placed(cell: str, axis: str, unit: float) -> tuple[Column, Column]:
-        at, low = F.col(axis) * unit, F.col(cell) * w
-        return F.greatest(F.lit(0.0), low - at, at - low - w), F.greatest(at - low, low + w - at)
+        least, most, low = F.col(first + axis) * unit, F.col(last + axis) * unit, F.col(cell) * w
+        return F.greatest(F.lit(0.0), low - most, least - low - w), F.greatest(most - low, low + w - least)
 
     price, surface = scaled("c_price", "price", K.SIMILAR_PRICE_WEIGHT), scaled("c_surface", "surface", 1.0)
     lat, lon = placed("c_lat", "lat", _LAT_UNIT), placed("c_lon", "lon", _LON_UNIT)
@@ -227,36 +242,130 @@ def _reaches(max_score: float) -> tuple[Column, Column]:
     return (price[0] + surface[0] + away[0]) * (1 - 1e-9) - 1e-9, (price[1] + surface[1] + away[1]) * (1 + 1e-9) + 1e-9
 
 
+_GROUP = (*[f"first_{c}" for c in _SPOT[1:]], *[f"last_{c}" for c in _SPOT[1:]])
+
+
 def _narrowed(seen: DataFrame, keep: int, max_score: float) -> DataFrame:
-    """The cells of a base that can hold one of its nearest: those that start within the radius that ``keep`` ids fill."""
-    low, high = _reaches(max_score)
+    """The cells of a group that can hold one of its bases' nearest: those that start within the radius that ``keep`` ids fill."""
+    low, high = _reaches(max_score, "first_", "last_")
     bounded = seen.withColumn("low", low).withColumn("high", high).where(F.col("low") <= F.col("radius"))
-    nearest_first = Window.partitionBy("spot").orderBy("high").rowsBetween(Window.unboundedPreceding, 0)
+    nearest_first = Window.partitionBy("home").orderBy("high").rowsBetween(Window.unboundedPreceding, 0)
     enough = bounded.withColumn("filled", F.sum("m").over(nearest_first) >= keep)
-    radius = F.least(F.col("radius"), F.min(F.when(F.col("filled"), F.col("high"))).over(Window.partitionBy("spot")))
+    radius = F.least(F.col("radius"), F.min(F.when(F.col("filled"), F.col("high"))).over(Window.partitionBy("home")))
     return enough.withColumn("radius", radius).where(F.col("low") <= F.col("radius")).drop("low", "high", "filled")
 
 
 def cells_to_search(bases: DataFrame, nodes: DataFrame, keep: int, max_score: float) -> DataFrame:
-    """(base spot, radius, leaf cell, m): the leaves that each base has to look into."""
-    planes = F.when(F.col("lat").isNull(), F.array(F.lit("blind"), F.lit("flat"))).otherwise(F.array(F.lit("placed"), F.lit("blind")))
-    asked = bases.select(*_SPOT, F.element_at("ids", 1).alias("spot"), (F.col("radius") * (1 + 1e-9) + 1e-9).alias("radius"), F.explode(planes).alias("plane"))
-    seen = asked.join(nodes.where("level = 0").drop("leaf"), ["city", "plane"])
+    """(base spot, radius, leaf cell, m, node): the leaves that each base has to look into."""
+    keys = ("city", "plane", "level", *_CELL)
+    blind = F.col("lat").isNull()
+    own = bases.withColumn("radius", F.col("radius") * (1 + 1e-9) + 1e-9).withColumn("plane", F.when(blind, "blind").otherwise("placed"))
+    leaves = nodes.where("leaf").select(*keys, F.col("node").alias("home"))
+    homes = materialize(
+        _in_cells(own, max_score).join(leaves, list(keys)).select("home", *_SPOT, "no", F.element_at("ids", 1).alias("spot"), "radius"), "similar-homes")
+    planes = F.when(F.col("first_lat").isNull(), F.array(F.lit("blind"), F.lit("flat"))).otherwise(F.array(F.lit("placed"), F.lit("blind")))
+    seen = homes.groupBy("home", "city").agg(
+        *[F.min(c).alias(f"first_{c}") for c in _SPOT[1:]], *[F.max(c).alias(f"last_{c}") for c in _SPOT[1:]], F.max("radius").alias("radius"))
+    # A group is a short row with much work ahead, so groups are dealt to all tasks, however few their bytes.
+    tasks = int(bases.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    seen = seen.repartition(tasks).withColumn("plane", F.explode(planes)).join(nodes.where("level = 0").drop("leaf"), ["city", "plane"])
     seen = _narrowed(seen, keep, max_score)
     depth = nodes.agg(F.max("level")).first()[0] or 0
     for level in range(STEP, depth + 1, STEP):
         finer = nodes.where(F.col("level") == level).select(
             "city", "plane", *[_floor(F.col(c) / 2**STEP).alias(c) for c in _CELL], F.lit(level - STEP).alias("level"),
-            F.struct(*[F.col(c) for c in _CELL], "m").alias("finer"))
-        joined = seen.join(finer, ["city", "plane", "level", *_CELL], "left")
+            F.struct(*[F.col(c) for c in _CELL], "m", "node").alias("finer"))
+        joined = seen.join(finer, list(keys), "left")
         split = F.col("finer").isNotNull()
-        cells = [F.when(split, F.col(f"finer.{c}")).otherwise(F.col(c)).alias(c) for c in (*_CELL, "m")]
-        seen = joined.select(*_SPOT, "spot", "radius", "plane", F.when(split, F.lit(level)).otherwise(F.col("level")).alias("level"), *cells)
+        cells = [F.when(split, F.col(f"finer.{c}")).otherwise(F.col(c)).alias(c) for c in (*_CELL, "m", "node")]
+        seen = joined.select("home", "city", *_GROUP, "radius", "plane", F.when(split, F.lit(level)).otherwise(F.col("level")).alias("level"), *cells)
         # Every other step only drops what lies beyond the radius known so far, which needs no window.
-        seen = _narrowed(seen, keep, max_score) if level % (2 * STEP) == 0 or level == depth else seen.where(_reaches(max_score)[0] <= F.col("radius"))
+        seen = _narrowed(seen, keep, max_score) if level % (2 * STEP) == 0 or level == depth else seen.where(
+            _reaches(max_score, "first_", "last_")[0] <= F.col("radius"))
         if level % (4 * STEP) == 0:
-            seen = materialize(seen, "similar-search")
-    return seen
+            seen = materialize(seen.repartition(tasks), "similar-search")
+    leaf = seen.select("home", "plane", "level", *_CELL, "m", "node", F.col("radius").alias("widest"))
+    look = homes.join(leaf, "home").withColumn("radius", F.least("radius", "widest")).drop("home", "widest")
+    return look.where(_reaches(max_score)[0] <= F.col("radius"))
+
+
+def _same_spot(a: str, b: str) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in _SPOT])
+
+
+def _scores(base: tuple[np.ndarray, ...], other: tuple[np.ndarray, ...]) -> np.ndarray:
+    """``score_expr`` of every base (rows) and every other spot (columns): the same steps in the same order."""
+    price, surface, lat, lon, placed = (x[:, None] for x in base)
+    by_price = np.abs(other[0] - price) / np.maximum(price, 1.0)
+    by_surface = np.abs(other[1] - surface) / np.maximum(surface, 1.0)
+    north, east = (other[2] - lat) * K.KM_PER_LAT, (other[3] - lon) * K.KM_PER_LON
+    km = np.where(placed & other[4], np.sqrt(north * north + east * east), 0.0)
+    return by_price * K.SIMILAR_PRICE_WEIGHT + by_surface + km * K.SIMILAR_KM_WEIGHT
+
+
+def _within_leaves(keep: int, max_score: float):
+    """(no, score, ids): the spots of a leaf within the radius of each base beside it, the ``keep`` nearest and ties.
+
+    Rows come by leaf and part, the spots of a leaf before the bases that look into it.
+    """
+    def values(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("price", "surface", "lat", "lon")]
+        return *columns, ~np.asarray(batch.column("lat").is_null())
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, spots, ids = None, None, None
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "part", "chunk", "base")])
+            cuts = [0, *(np.flatnonzero((np.diff(keys) != 0).any(0)) + 1).tolist(), batch.num_rows]
+            every = values(batch)
+            no, radius, lists = batch.column("no").to_numpy(), batch.column("radius").to_numpy(zero_copy_only=False), batch.column("ids")
+            out_no, out_score, out_ids = [], [], []
+            for low, high in zip(cuts, cuts[1:]):
+                if low == high:
+                    continue
+                here, mine = tuple(keys[:3, low].tolist()), tuple(x[low:high] for x in every)
+                if not keys[3, low]:
+                    # A leaf may begin in one batch and go on in the next.
+                    more = here == group
+                    spots = tuple(map(np.concatenate, zip(spots, mine, strict=True))) if more else mine
+                    ids = pa.concat_arrays([ids, lists.slice(low, high - low)]) if more else lists.slice(low, high - low)
+                    group = here
+                    continue
+                if here != group:
+                    continue
+                step = max(1, (1 << 20) // len(ids))
+                for first in range(0, high - low, step):
+                    some = slice(first, first + step)
+                    score = _scores(tuple(x[some] for x in mine), spots)
+                    reach = radius[low:high][some] * (1 + _SLACK) + _SLACK
+                    if len(ids) > keep:
+                        reach = np.fmin(reach, np.partition(score, keep - 1, 1)[:, keep - 1])
+                    row, column = np.nonzero((score < max_score) & (score <= reach[:, None]))
+                    out_no.append(no[low:high][some][row])
+                    out_score.append(score[row, column])
+                    out_ids.append(ids.take(pa.array(column)))
+            if out_no:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(out_no)), pa.array(np.concatenate(out_score)), pa.concat_arrays(out_ids)], names=["no", "score", "ids"])
+
+    return compared
+
+
+def _found(look: DataFrame, leaves: DataFrame, keep: int, max_score: float) -> DataFrame:
+    """(no, score, ids): spots near each base, from the leaves it looks into."""
+    look = materialize(look.select("node", "m", "no", *_SPOT[1:], "radius"), "similar-look")
+    chunks = look.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / LEAF_BASES).alias("chunks"))
+    parts = F.ceil(F.col("m") / LEAF_IDS)
+    bases = look.join(chunks, "node").select(
+        "node", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.pmod(F.xxhash64("no"), F.col("chunks")).alias("chunk"),
+        F.lit(True).alias("base"), "no", *_SPOT[1:], "radius", F.lit(None).cast(leaves.schema["ids"].dataType).alias("ids"))
+    spots = leaves.join(chunks, "node").select(
+        "node", F.pmod(F.xxhash64("no"), parts).alias("part"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
+        F.lit(False).alias("base"), "no", *_SPOT[1:], "radius", "ids")
+    keys = ("node", "part", "chunk")
+    dealt = spots.unionByName(bases).repartition(*keys).sortWithinPartitions(*keys, "base")
+    schema = T.StructType([T.StructField("no", T.LongType()), T.StructField("score", T.DoubleType()), dealt.schema["ids"]])
+    return dealt.mapInArrow(_within_leaves(keep, max_score), schema)
 
 
 def _same_spot(a: str, b: str) -> Column:
@@ -284,22 +393,18 @@ def topk_similar(
         searched = searched.alias("s").join(wanted.alias("w"), _same_spot("s", "w"), "left_semi")
     cells = _in_cells(_planed(spots), max_score)
     nodes = materialize(_tree(cells), "similar-tree")
-    look = cells_to_search(searched, nodes, keep, max_score).alias("a")
+    look = cells_to_search(searched, nodes, keep, max_score)
     keys = ("city", "plane", "level", *_CELL)
-    leaves = cells.join(nodes.where("leaf").select(*keys), list(keys), "left_semi").alias("b")
-    on = reduce(lambda x, y: x & y, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in keys])
-    found = look.join(leaves, on).select(
-        *[F.col(f"a.{c}").alias(c) for c in _SPOT], F.col("a.radius").alias("radius"),
-        F.col("b.ids").alias("ids"), score_expr("a", "b").alias("score"),
-    )
-    found = found.where((F.col("score") < max_score) & (F.col("score") <= F.col("radius") * (1 + _SLACK) + _SLACK))
-    by_score = F.row_number().over(Window.partitionBy(*_SPOT).orderBy("score", "similar_id"))
+    leaves = cells.join(nodes.where("leaf").select(*keys, "m", "node"), list(keys))
+    by_score = F.row_number().over(Window.partitionBy("no").orderBy("score", "similar_id"))
     ranked = (
-        found.select(*_SPOT, "score", F.explode("ids").alias("similar_id"))
+        _found(look, leaves, keep, max_score)
+        .select("no", "score", F.explode("ids").alias("similar_id"))
         .withColumn("_rank", by_score)
         .where(F.col("_rank") <= keep)
-        .groupBy(*_SPOT)
+        .groupBy("no")
         .agg(F.sort_array(F.collect_list(F.struct("score", "similar_id"))).alias("near"))
+        .join(spots.select("no", *_SPOT), "no")
     )
     joined = asked.alias("p").join(ranked.alias("n"), _same_spot("p", "n"))
     others = F.slice(F.filter("n.near", lambda x: x["similar_id"] != F.col("p.id")), 1, k)

@@ -199,9 +199,9 @@ def _floor(x: Column) -> Column:
     return F.rint(x - F.pmod(x, F.lit(1.0))) + F.lit(0.0)
 
 
-def _tree(cells: DataFrame) -> DataFrame:
-    """(city, plane, level, cell, m, leaf, node): the cells of all trees, with how many ids their spots keep and a number
-    that holds once they are written.
+def _tree(cells: DataFrame, max_score: float = K.SIMILAR_MAX_SCORE) -> DataFrame:
+    """(city, plane, level, cell, m, leaf, node, box): the cells of all trees, with how many ids their spots keep, a
+    number that holds once they are written, and their bounds.
 
     A cell is there if the one above has too many spots; it is a leaf if it has few itself or is of the last level.
     """
@@ -212,31 +212,42 @@ def _tree(cells: DataFrame) -> DataFrame:
     below = inner.join(above, ["city", "plane", "level", *[f"p{c}" for c in _CELL]], "left_semi").drop(*[f"p{c}" for c in _CELL])
     nodes = counted.where(F.col("level") == 0).unionByName(below)
     leaf = (F.col("n") <= CELL_SPOTS) | (F.col("level") == DEPTH)
-    return nodes.select("city", "plane", "level", *_CELL, "m", leaf.alias("leaf"), F.monotonically_increasing_id().alias("node"))
+    return nodes.select("city", "plane", "level", *_CELL, "m", leaf.alias("leaf"), F.monotonically_increasing_id().alias("node"), _box(max_score).alias("box"))
 
 
-def _reaches(max_score: float, first: str = "", last: str = "") -> tuple[Column, Column]:
-    """Lower and upper bound of the score between a base and anything in the cell of the same row.
+def _box(max_score: float) -> Column:
+    """Where the cell of a row begins and ends: prices and surfaces as they are, places in score units."""
+    w = _width(F.col("level"), max_score)
+
+    def ends(cell: str, weight: float) -> tuple[Column, Column]:
+        return _axis_value(F.col(cell) * w / weight), _axis_value((F.col(cell) + 1) * w / weight)
+
+    sides = [ends("c_price", K.SIMILAR_PRICE_WEIGHT), ends("c_surface", 1.0), *[(F.col(c) * w, (F.col(c) + 1) * w) for c in ("c_lat", "c_lon")]]
+    return F.struct(*[x.alias(f"{end}_{c}") for c, side in zip(_SPOT[1:], sides) for end, x in zip(("low", "high"), side)])
+
+
+def _reaches(first: str = "", last: str = "") -> tuple[Column, Column]:
+    """Lower and upper bound of the score between a base and anything in the ``box`` of the same row.
 
     The base's values lie between the columns named with the prefixes ``first`` and ``last`` (without, a single base).
     """
-    w = _width(F.col("level"), max_score)
+    def sides(c: str) -> tuple[Column, ...]:
+        return F.col(first + c), F.col(last + c), F.col(f"box.low_{c}"), F.col(f"box.high_{c}")
 
-    def scaled(cell: str, value: str, weight: float) -> tuple[Column, Column]:
-        least, most = F.col(first + value), F.col(last + value)
-        low, high = _axis_value(F.col(cell) * w / weight), _axis_value((F.col(cell) + 1) * w / weight)
+    def scaled(value: str, weight: float) -> tuple[Column, Column]:
+        least, most, low, high = sides(value)
         # On either side of a cell the relative distance has its smallest value at an end of the bases' range.
         ends = {first: least, last: most}.values()
         near = [F.greatest(F.lit(0.0), low - most, least - high) / F.greatest(v, F.lit(1.0)) for v in ends]
         far = F.greatest(high - least, most - low) / F.greatest(least, F.lit(1.0))
         return (F.least(*near) if len(near) > 1 else near[0]) * weight, far * weight
 
-    def placed(cell: str, axis: str, unit: float) -> tuple[Column, Column]:
-        least, most, low = F.col(first + axis) * unit, F.col(last + axis) * unit, F.col(cell) * w
-        return F.greatest(F.lit(0.0), low - most, least - low - w), F.greatest(most - low, low + w - least)
+    def placed(axis: str, unit: float) -> tuple[Column, Column]:
+        least, most, low, high = sides(axis)
+        return F.greatest(F.lit(0.0), low - most * unit, least * unit - high), F.greatest(most * unit - low, high - least * unit)
 
-    price, surface = scaled("c_price", "price", K.SIMILAR_PRICE_WEIGHT), scaled("c_surface", "surface", 1.0)
-    lat, lon = placed("c_lat", "lat", _LAT_UNIT), placed("c_lon", "lon", _LON_UNIT)
+    price, surface = scaled("price", K.SIMILAR_PRICE_WEIGHT), scaled("surface", 1.0)
+    lat, lon = placed("lat", _LAT_UNIT), placed("lon", _LON_UNIT)
     inside = F.col("plane") == "placed"
     away = [F.when(inside, F.sqrt(lat[i] * lat[i] + lon[i] * lon[i])).otherwise(F.lit(0.0)) for i in (0, 1)]
     return (price[0] + surface[0] + away[0]) * (1 - 1e-9) - 1e-9, (price[1] + surface[1] + away[1]) * (1 + 1e-9) + 1e-9
@@ -245,9 +256,9 @@ def _reaches(max_score: float, first: str = "", last: str = "") -> tuple[Column,
 _GROUP = (*[f"first_{c}" for c in _SPOT[1:]], *[f"last_{c}" for c in _SPOT[1:]])
 
 
-def _narrowed(seen: DataFrame, keep: int, max_score: float) -> DataFrame:
+def _narrowed(seen: DataFrame, keep: int) -> DataFrame:
     """The cells of a group that can hold one of its bases' nearest: those that start within the radius that ``keep`` ids fill."""
-    low, high = _reaches(max_score, "first_", "last_")
+    low, high = _reaches("first_", "last_")
     bounded = seen.withColumn("low", low).withColumn("high", high).where(F.col("low") <= F.col("radius"))
     nearest_first = Window.partitionBy("home").orderBy("high").rowsBetween(Window.unboundedPreceding, 0)
     enough = bounded.withColumn("filled", F.sum("m").over(nearest_first) >= keep)
@@ -269,24 +280,24 @@ def cells_to_search(bases: DataFrame, nodes: DataFrame, keep: int, max_score: fl
     # A group is a short row with much work ahead, so groups are dealt to all tasks, however few their bytes.
     tasks = int(bases.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     seen = seen.repartition(tasks).withColumn("plane", F.explode(planes)).join(nodes.where("level = 0").drop("leaf"), ["city", "plane"])
-    seen = _narrowed(seen, keep, max_score)
+    seen = _narrowed(seen, keep)
     depth = nodes.agg(F.max("level")).first()[0] or 0
     for level in range(STEP, depth + 1, STEP):
         finer = nodes.where(F.col("level") == level).select(
             "city", "plane", *[_floor(F.col(c) / 2**STEP).alias(c) for c in _CELL], F.lit(level - STEP).alias("level"),
-            F.struct(*[F.col(c) for c in _CELL], "m", "node").alias("finer"))
+            F.struct(*[F.col(c) for c in _CELL], "m", "node", "box").alias("finer"))
         joined = seen.join(finer, list(keys), "left")
         split = F.col("finer").isNotNull()
-        cells = [F.when(split, F.col(f"finer.{c}")).otherwise(F.col(c)).alias(c) for c in (*_CELL, "m", "node")]
+        cells = [F.when(split, F.col(f"finer.{c}")).otherwise(F.col(c)).alias(c) for c in (*_CELL, "m", "node", "box")]
         seen = joined.select("home", "city", *_GROUP, "radius", "plane", F.when(split, F.lit(level)).otherwise(F.col("level")).alias("level"), *cells)
         # Every other step only drops what lies beyond the radius known so far, which needs no window.
-        seen = _narrowed(seen, keep, max_score) if level % (2 * STEP) == 0 or level == depth else seen.where(
-            _reaches(max_score, "first_", "last_")[0] <= F.col("radius"))
+        seen = _narrowed(seen, keep) if level % (2 * STEP) == 0 or level == depth else seen.where(
+            _reaches("first_", "last_")[0] <= F.col("radius"))
         if level % (4 * STEP) == 0:
             seen = materialize(seen.repartition(tasks), "similar-search")
-    leaf = seen.select("home", "plane", "level", *_CELL, "m", "node", F.col("radius").alias("widest"))
+    leaf = seen.select("home", "plane", "level", *_CELL, "m", "node", "box", F.col("radius").alias("widest"))
     look = homes.join(leaf, "home").withColumn("radius", F.least("radius", "widest")).drop("home", "widest")
-    return look.where(_reaches(max_score)[0] <= F.col("radius"))
+    return look.where(_reaches()[0] <= F.col("radius")).drop("box")
 
 
 def _same_spot(a: str, b: str) -> Column:
@@ -392,7 +403,7 @@ def topk_similar(
         wanted = asked.select(*_SPOT).distinct()
         searched = searched.alias("s").join(wanted.alias("w"), _same_spot("s", "w"), "left_semi")
     cells = _in_cells(_planed(spots), max_score)
-    nodes = materialize(_tree(cells), "similar-tree")
+    nodes = materialize(_tree(cells, max_score), "similar-tree")
     look = cells_to_search(searched, nodes, keep, max_score)
     keys = ("city", "plane", "level", *_CELL)
     leaves = cells.join(nodes.where("leaf").select(*keys, "m", "node"), list(keys))

@@ -98,3 +98,29 @@ def test_messages_bounded_by_batch_and_run(spark, tmp_path):
     assert sorted(r.offset for r in seen.collect()) == list(range(10_000))
     assert all(json.loads(r.value)["k"] == r.offset for r in seen.collect())
     assert max(r["count"] for r in seen.groupBy("batch").count().collect()) <= 700
+
+
+def test_consumers_share_a_topic(spark, tmp_path):
+    from terroir.sources.topic_lines import read_topic_lines
+
+    topic = tmp_path / "topic"
+    topic.mkdir()
+    for n in range(5):
+        (topic / f"part-{n}").write_text("".join(f"m{n}-{k}\n" for k in range(n * 10)))
+
+    def run(messages=None):
+        J.run_consumers([
+            (read_topic_lines(spark, str(topic), f"{tmp_path}/{i}/progress", 7, messages, i, 3),
+             lambda df, n, i=i: J.write_batch(df.select("offset", "value"), f"{tmp_path}/seen/consumer={i}", n), J.JobPaths(f"{tmp_path}/{i}"))
+            for i in range(3)])
+        return spark.read.parquet(f"{tmp_path}/seen").collect()
+
+    # Consumer 0 has files 0 and 3, consumer 1 files 1 and 4, consumer 2 file 2: each stops after 9 messages of its own.
+    first = run(9)
+    assert sorted(r["value"] for r in first) == sorted(f"m{n}-{k}" for n in (1, 2, 3) for k in range(9))
+    every = run()
+    assert sorted(r["value"] for r in every) == sorted(f"m{n}-{k}" for n in range(5) for k in range(n * 10))
+    sizes = {}
+    for r in every:
+        sizes[r["consumer"], r["batch"]] = sizes.get((r["consumer"], r["batch"]), 0) + 1
+    assert max(sizes.values()) <= 7

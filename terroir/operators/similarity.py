@@ -38,6 +38,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -184,9 +185,9 @@ def _planed(spots: DataFrame) -> DataFrame:
     return planed.unionByName(flat.withColumn("plane", F.lit("flat")))
 
 
-def _in_cells(planed: DataFrame, max_score: float) -> DataFrame:
-    """Every spot under its cell of every level. Cells are whole numbers kept as doubles, so no junk value overflows."""
-    leveled = planed.withColumn("level", F.explode(F.array(*[F.lit(n) for n in range(0, DEPTH + 1, STEP)])))
+def _in_cells(planed: DataFrame, max_score: float, depth: int = DEPTH) -> DataFrame:
+    """Every spot under its cell of every level down to ``depth``. Cells are whole numbers kept as doubles, so no junk value overflows."""
+    leveled = planed.withColumn("level", F.explode(F.array(*[F.lit(n) for n in range(0, depth + 1, STEP)])))
     axes = _positions(F.col("price"), F.col("surface"), F.col("lat"), F.col("lon"))
     inside = F.col("plane") == "placed"
     cells = [_floor(x / _width(F.col("level"), max_score)) for x in axes]
@@ -226,78 +227,109 @@ def _box(max_score: float) -> Column:
     return F.struct(*[x.alias(f"{end}_{c}") for c, side in zip(_SPOT[1:], sides) for end, x in zip(("low", "high"), side)])
 
 
-def _reaches(first: str = "", last: str = "") -> tuple[Column, Column]:
-    """Lower and upper bound of the score between a base and anything in the ``box`` of the same row.
+def _reach() -> Column:
+    """Lower bound of the score between a base and anything in the ``box`` of the same row."""
+    def scaled(value: str, weight: float) -> Column:
+        away = F.greatest(F.lit(0.0), F.col(f"box.low_{value}") - F.col(value), F.col(value) - F.col(f"box.high_{value}"))
+        return away / F.greatest(F.col(value), F.lit(1.0)) * weight
+
+    def placed(axis: str, unit: float) -> Column:
+        return F.greatest(F.lit(0.0), F.col(f"box.low_{axis}") - F.col(axis) * unit, F.col(axis) * unit - F.col(f"box.high_{axis}"))
 
-    The base's values lie between the columns named with the prefixes ``first`` and ``last`` (without, a single base).
-    """
-    def sides(c: str) -> tuple[Column, ...]:
-        return F.col(first + c), F.col(last + c), F.col(f"box.low_{c}"), F.col(f"box.high_{c}")
-
-    def scaled(value: str, weight: float) -> tuple[Column, Column]:
-        least, most, low, high = sides(value)
-        # On either side of a cell the relative distance has its smallest value at an end of the bases' range.
-        ends = {first: least, last: most}.values()
-        near = [F.greatest(F.lit(0.0), low - most, least - high) / F.greatest(v, F.lit(1.0)) for v in ends]
-        far = F.greatest(high - least, most - low) / F.greatest(least, F.lit(1.0))
-        return (F.least(*near) if len(near) > 1 else near[0]) * weight, far * weight
-
-    def placed(axis: str, unit: float) -> tuple[Column, Column]:
-        least, most, low, high = sides(axis)
-        return F.greatest(F.lit(0.0), low - most * unit, least * unit - high), F.greatest(most * unit - low, high - least * unit)
-
-    price, surface = scaled("price", K.SIMILAR_PRICE_WEIGHT), scaled("surface", 1.0)
     lat, lon = placed("lat", _LAT_UNIT), placed("lon", _LON_UNIT)
-    inside = F.col("plane") == "placed"
-    away = [F.when(inside, F.sqrt(lat[i] * lat[i] + lon[i] * lon[i])).otherwise(F.lit(0.0)) for i in (0, 1)]
-    return (price[0] + surface[0] + away[0]) * (1 - 1e-9) - 1e-9, (price[1] + surface[1] + away[1]) * (1 + 1e-9) + 1e-9
+    away = F.when(F.col("plane") == "placed", F.sqrt(lat * lat + lon * lon)).otherwise(F.lit(0.0))
+    return (scaled("price", K.SIMILAR_PRICE_WEIGHT) + scaled("surface", 1.0) + away) * (1 - 1e-9) - 1e-9
 
 
 _GROUP = (*[f"first_{c}" for c in _SPOT[1:]], *[f"last_{c}" for c in _SPOT[1:]])
+_BOX = tuple(f"{end}_{c}" for c in _SPOT[1:] for end in ("low", "high"))
+
 
+def _bounded():
+    """Rows whose cell may hold something within the radius, with ``low`` and ``high``: the lower and upper bound of the
+    score between any base of the group, whose values lie between first and last, and anything in the cell.
+    """
+    scaled = (("price", K.SIMILAR_PRICE_WEIGHT), ("surface", 1.0))
+    placed = (("lat", _LAT_UNIT), ("lon", _LON_UNIT))
 
-def _narrowed(seen: DataFrame, keep: int) -> DataFrame:
+    def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            def sides(c: str) -> tuple[np.ndarray, ...]:
+                return tuple(batch.column(f"{side}_{c}").to_numpy(zero_copy_only=False) for side in ("first", "last", "low", "high"))
+
+            low, high = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
+            with np.errstate(all="ignore"):
+                for value, weight in scaled:
+                    least, most, begin, end = sides(value)
+                    # The relative distance from a cell on either side is smallest beside the largest base.
+                    low += np.maximum(0.0, np.maximum(begin - most, least - end)) / np.maximum(most, 1.0) * weight
+                    high += np.maximum(end - least, most - begin) / np.maximum(least, 1.0) * weight
+                near, far = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
+                for axis, unit in placed:
+                    least, most, begin, end = sides(axis)
+                    near += np.maximum(0.0, np.maximum(begin - most * unit, least * unit - end)) ** 2
+                    far += np.maximum(most * unit - begin, end - least * unit) ** 2
+                inside = pc.equal(batch.column("plane"), "placed").to_numpy(zero_copy_only=False)
+                low = (low + np.where(inside, np.sqrt(near), 0.0)) * (1 - 1e-9) - 1e-9
+                high = (high + np.where(inside, np.sqrt(far), 0.0)) * (1 + 1e-9) + 1e-9
+            within = low <= batch.column("radius").to_numpy(zero_copy_only=False)
+            names = [*batch.schema.names, "low", "high"]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(low), pa.array(high)], names=names).filter(pa.array(within))
+
+    return bounds
+
+
+def _within_radius(seen: DataFrame) -> DataFrame:
+    """The cells of a group that start within its radius, with the bounds ``low`` and ``high``."""
+    # In one expression the bounds are a method too long for the JVM to compile: it would interpret them row by row.
+    schema = T.StructType([*seen.schema.fields, T.StructField("low", T.DoubleType()), T.StructField("high", T.DoubleType())])
+    return seen.mapInArrow(_bounded(), schema)
+
+
+def _narrowed(bounded: DataFrame, keep: int) -> DataFrame:
     """The cells of a group that can hold one of its bases' nearest: those that start within the radius that ``keep`` ids fill."""
-    low, high = _reaches("first_", "last_")
-    bounded = seen.withColumn("low", low).withColumn("high", high).where(F.col("low") <= F.col("radius"))
     nearest_first = Window.partitionBy("home").orderBy("high").rowsBetween(Window.unboundedPreceding, 0)
     enough = bounded.withColumn("filled", F.sum("m").over(nearest_first) >= keep)
     radius = F.least(F.col("radius"), F.min(F.when(F.col("filled"), F.col("high"))).over(Window.partitionBy("home")))
-    return enough.withColumn("radius", radius).where(F.col("low") <= F.col("radius")).drop("low", "high", "filled")
+    return enough.withColumn("radius", radius).where(F.col("low") <= F.col("radius")).drop("filled")
 
 
 def cells_to_search(bases: DataFrame, nodes: DataFrame, keep: int, max_score: float) -> DataFrame:
-    """(base spot, radius, leaf cell, m, node): the leaves that each base has to look into."""
+    """(base spot, radius, m, node): the leaves that each base has to look into."""
     keys = ("city", "plane", "level", *_CELL)
+    depth = nodes.agg(F.max("level")).first()[0] or 0
     blind = F.col("lat").isNull()
     own = bases.withColumn("radius", F.col("radius") * (1 + 1e-9) + 1e-9).withColumn("plane", F.when(blind, "blind").otherwise("placed"))
     leaves = nodes.where("leaf").select(*keys, F.col("node").alias("home"))
     homes = materialize(
-        _in_cells(own, max_score).join(leaves, list(keys)).select("home", *_SPOT, "no", F.element_at("ids", 1).alias("spot"), "radius"), "similar-homes")
+        _in_cells(own, max_score, depth).join(leaves, list(keys)).select("home", *_SPOT, "no", F.element_at("ids", 1).alias("spot"), "radius"), "similar-homes")
     planes = F.when(F.col("first_lat").isNull(), F.array(F.lit("blind"), F.lit("flat"))).otherwise(F.array(F.lit("placed"), F.lit("blind")))
     seen = homes.groupBy("home", "city").agg(
         *[F.min(c).alias(f"first_{c}") for c in _SPOT[1:]], *[F.max(c).alias(f"last_{c}") for c in _SPOT[1:]], F.max("radius").alias("radius"))
     # A group is a short row with much work ahead, so groups are dealt to all tasks, however few their bytes.
     tasks = int(bases.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    seen = seen.repartition(tasks).withColumn("plane", F.explode(planes)).join(nodes.where("level = 0").drop("leaf"), ["city", "plane"])
-    seen = _narrowed(seen, keep)
-    depth = nodes.agg(F.max("level")).first()[0] or 0
+    roots = nodes.where("level = 0").select("city", "plane", "m", "node", "box.*")
+    seen = seen.repartition(tasks).withColumn("plane", F.explode(planes)).join(roots, ["city", "plane"]).drop("city")
+    columns = ("home", *_GROUP, "radius", "plane", "m", "node", *_BOX)
+    seen = _narrowed(_within_radius(seen.select(*columns)), keep).select(*columns)
+    # Below the roots a cell is found by the number of the one above.
+    above = nodes.where("NOT leaf").select(
+        "city", "plane", (F.col("level") + STEP).alias("level"), *[F.col(c).alias(f"p{c}") for c in _CELL], F.col("node").alias("above"))
+    halved = nodes.select("city", "plane", "level", "m", "node", "box", *[_floor(F.col(c) / 2**STEP).alias(f"p{c}") for c in _CELL])
+    below = materialize(
+        halved.join(above, ["city", "plane", "level", *[f"p{c}" for c in _CELL]]).select("level", "above", "m", "node", "box.*"), "similar-below")
     for level in range(STEP, depth + 1, STEP):
-        finer = nodes.where(F.col("level") == level).select(
-            "city", "plane", *[_floor(F.col(c) / 2**STEP).alias(c) for c in _CELL], F.lit(level - STEP).alias("level"),
-            F.struct(*[F.col(c) for c in _CELL], "m", "node", "box").alias("finer"))
-        joined = seen.join(finer, list(keys), "left")
-        split = F.col("finer").isNotNull()
-        cells = [F.when(split, F.col(f"finer.{c}")).otherwise(F.col(c)).alias(c) for c in (*_CELL, "m", "node", "box")]
-        seen = joined.select("home", "city", *_GROUP, "radius", "plane", F.when(split, F.lit(level)).otherwise(F.col("level")).alias("level"), *cells)
+        finer = below.where(F.col("level") == level).select("above", *[F.col(c).alias(f"finer_{c}") for c in ("m", "node", *_BOX)])
+        cells = [F.coalesce(f"finer_{c}", c).alias(c) for c in ("m", "node", *_BOX)]
+        joined = seen.join(finer, F.col("node") == F.col("above"), "left").select("home", *_GROUP, "radius", "plane", *cells)
         # Every other step only drops what lies beyond the radius known so far, which needs no window.
-        seen = _narrowed(seen, keep) if level % (2 * STEP) == 0 or level == depth else seen.where(
-            _reaches("first_", "last_")[0] <= F.col("radius"))
+        bounded = _within_radius(joined)
+        seen = (_narrowed(bounded, keep) if level % (2 * STEP) == 0 or level == depth else bounded).select(*columns)
         if level % (4 * STEP) == 0:
             seen = materialize(seen.repartition(tasks), "similar-search")
-    leaf = seen.select("home", "plane", "level", *_CELL, "m", "node", "box", F.col("radius").alias("widest"))
+    leaf = seen.select("home", "plane", "m", "node", F.struct(*_BOX).alias("box"), F.col("radius").alias("widest"))
     look = homes.join(leaf, "home").withColumn("radius", F.least("radius", "widest")).drop("home", "widest")
-    return look.where(_reaches()[0] <= F.col("radius")).drop("box")
+    return look.where(_reach() <= F.col("radius")).drop("box", "plane")
 
 
 def _same_spot(a: str, b: str) -> Column:
@@ -402,11 +434,11 @@ def topk_similar(
     if bases is not None:
         wanted = asked.select(*_SPOT).distinct()
         searched = searched.alias("s").join(wanted.alias("w"), _same_spot("s", "w"), "left_semi")
-    cells = _in_cells(_planed(spots), max_score)
-    nodes = materialize(_tree(cells, max_score), "similar-tree")
+    nodes = materialize(_tree(_in_cells(_planed(spots), max_score), max_score), "similar-tree")
     look = cells_to_search(searched, nodes, keep, max_score)
     keys = ("city", "plane", "level", *_CELL)
-    leaves = cells.join(nodes.where("leaf").select(*keys, "m", "node"), list(keys))
+    placed = _in_cells(_planed(spots), max_score, nodes.agg(F.max("level")).first()[0] or 0)
+    leaves = placed.join(nodes.where("leaf").select(*keys, "m", "node"), list(keys))
     by_score = F.row_number().over(Window.partitionBy("no").orderBy("score", "similar_id"))
     ranked = (
         _found(look, leaves, keep, max_score)

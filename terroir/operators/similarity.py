@@ -51,6 +51,7 @@ from ..session import materialize
 CELL_SPOTS = 64  # a cell with more spots is split
 STEP = 1  # a step of the tree halves each axis so often
 DEPTH = 26  # halvings at which splitting ends: cells are then max_score / 2**23 wide
+COUNTED = 9  # levels that are counted in one go
 CURVE_BITS = 12  # per dimension
 CURVE_REACH = 128  # neighbours on each side along the curve that give the first radius
 LEAF_BASES = 8192  # bases compared with a leaf in one go
@@ -200,13 +201,32 @@ def _floor(x: Column) -> Column:
     return F.rint(x - F.pmod(x, F.lit(1.0))) + F.lit(0.0)
 
 
+def _counted(cells: DataFrame) -> DataFrame:
+    """(city, plane, level, cell, n, m): how many spots a cell has and ids they keep; beyond every ``COUNTED`` levels only
+    inside of cells that are split."""
+    parts: list[DataFrame] = []
+    for first in range(0, DEPTH + 1, COUNTED * STEP):
+        last = min(first + (COUNTED - 1) * STEP, DEPTH)
+        some = cells.where(F.col("level").between(first, last))
+        if parts:
+            full = parts[-1].where((F.col("level") == first - STEP) & (F.col("n") > CELL_SPOTS))
+            if full.isEmpty():
+                break
+            above = [_floor(F.col(c) / F.pow(F.lit(2.0), F.col("level") - (first - STEP))).alias(f"p{c}") for c in _CELL]
+            some = some.select("*", *above).join(full.select("city", "plane", *[F.col(c).alias(f"p{c}") for c in _CELL]),
+                                                 ["city", "plane", *[f"p{c}" for c in _CELL]], "left_semi")
+        parts.append(materialize(
+            some.groupBy("city", "plane", "level", *_CELL).agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("ids")).alias("m")), "similar-cells"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _tree(cells: DataFrame, max_score: float = K.SIMILAR_MAX_SCORE) -> DataFrame:
     """(city, plane, level, cell, m, leaf, node, box): the cells of all trees, with how many ids their spots keep, a
     number that holds once they are written, and their bounds.
 
     A cell is there if the one above has too many spots; it is a leaf if it has few itself or is of the last level.
     """
-    counted = materialize(cells.groupBy("city", "plane", "level", *_CELL).agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("ids")).alias("m")), "similar-cells")
+    counted = _counted(cells)
     full = counted.where((F.col("n") > CELL_SPOTS) & (F.col("level") < DEPTH))
     above = full.select("city", "plane", (F.col("level") + STEP).alias("level"), *[F.col(c).alias(f"p{c}") for c in _CELL])
     inner = counted.select("*", *[_floor(F.col(c) / 2**STEP).alias(f"p{c}") for c in _CELL])
